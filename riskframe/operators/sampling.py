@@ -5,16 +5,18 @@ Every draw is a function of ``key_hash(key, seed)`` (see
 results are identical in any partitioning, after recomputation, and in DuckDB.
 
 Exact-size samples take, per stratum, the rows with the smallest
-(hash, key). Rows are counted per (stratum, hash prefix); prefix buckets
-wholly below the cut are taken as they are and only the one bucket per
-stratum that straddles the cut is ranked, bucket-parallel through
-:func:`riskframe.operators.prefix.sequential_id`. Nothing is gathered into
-one task, and a stratum holding most rows is still spread over its buckets.
-Keys must be unique for the exact forms to be deterministic.
+(hash, key). Rows are counted per (stratum, hash prefix); the one bucket per
+stratum that straddles the cut is refined by further prefix bits until it is
+small, and only it is ranked. The result is a literal threshold tuple per
+stratum, so the sample is a plain predicate ``(hash, key) <= threshold``:
+no union or join, and chained samples keep a small plan. A stratum holding
+most rows is spread over its hash buckets like any other. Keys must be
+unique for the exact forms to be deterministic.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 
@@ -24,44 +26,125 @@ from pyspark.sql import functions as F
 from riskframe.functions.hashing import HASH_BITS, hash_below, key_hash
 from riskframe.operators.prefix import sequential_id
 
-PREFIX_DIGITS = 3  # 4096 hash-prefix buckets per stratum
+# Each refinement level splits a hash-prefix bucket into 4096 sub-buckets;
+# a cut bucket at or below RANK_LIMIT rows per stratum is ranked directly.
+LEVEL_BITS = 12
+RANK_LIMIT = 200_000
+MAX_STRATA = 4096
 
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _stratum_cond(strata: list[str], values: tuple):
+    cond = F.lit(True)
+    for c, v in zip(strata, values):
+        cond = cond & F.col(c).eqNullSafe(F.lit(v))
+    return cond
+
+
+def _prefix_cond(bits: int, prefix: int):
+    return F.shiftright(F.col("_rf_h"), HASH_BITS - bits) == F.lit(prefix).cast("bigint")
+
+
+def smallest_thresholds(df: DataFrame, key, seed, fraction: float | None = None, n: int | None = None,
+                        strata: Sequence[str] = ()) -> dict:
+    """Per stratum: 'all', 'none', or the (hash, key...) tuple of the last row
+    taken when rows are ordered by (hash, key). The target per stratum is
+    ``n`` or ``floor(f * n_s + 0.5)``.
+
+    Rows are counted per 12-bit hash prefix (a few thousand small rows per
+    stratum reach the driver); the bucket holding the cut is refined by the
+    next 12 bits until it holds at most RANK_LIMIT rows, and only that
+    bucket is ranked. Each level is one pass over a narrow projection."""
+    keys, strata = _keys(key), list(strata)
+    x = df.select(*strata, *keys, key_hash(keys, seed).alias("_rf_h"))
+    rows = (x.groupBy(*strata, F.shiftright("_rf_h", HASH_BITS - LEVEL_BITS).alias("_rf_b"))
+             .agg(F.count(F.lit(1)).alias("_rf_c")).collect())
+    per: dict = {}
+    for r in rows:
+        per.setdefault(tuple(r[c] for c in strata), []).append((r["_rf_b"], r["_rf_c"]))
+    if len(per) > MAX_STRATA:
+        raise ValueError(f"{len(per)} strata exceed the cap {MAX_STRATA}")
+    result, open_ = {}, {}
+    for st, buckets in per.items():
+        total = sum(c for _, c in buckets)
+        target = int(n) if n is not None else math.floor(float(fraction) * total + 0.5)
+        if target <= 0:
+            result[st] = "none"
+        elif target >= total:
+            result[st] = "all"
+        else:
+            open_[st] = (0, 0, target, buckets)  # (prefix, bits, need, sub-bucket counts)
+    while open_:
+        rank_now, refine = {}, {}
+        for st, (prefix, bits, need, buckets) in open_.items():
+            before = 0
+            for b, c in sorted(buckets):
+                if before + c >= need:
+                    nbits, npref = bits + LEVEL_BITS, (prefix << LEVEL_BITS) | b
+                    tgt = rank_now if (c <= RANK_LIMIT or nbits + LEVEL_BITS > HASH_BITS) else refine
+                    tgt[st] = (npref, nbits, need - before)
+                    break
+                before += c
+        if rank_now:
+            cond = None
+            for st, (pref, bits, _) in rank_now.items():
+                k = _stratum_cond(strata, st) & _prefix_cond(bits, pref)
+                cond = k if cond is None else cond | k
+            w = Window.partitionBy(*strata).orderBy("_rf_h", *keys)
+            ranked = x.where(cond).withColumn("_rf_rn", F.row_number().over(w))
+            want = None
+            for st, (_, _, need) in rank_now.items():
+                k = _stratum_cond(strata, st) & (F.col("_rf_rn") == need)
+                want = k if want is None else want | k
+            for r in ranked.where(want).collect():
+                result[tuple(r[c] for c in strata)] = tuple([r["_rf_h"]] + [r[k] for k in keys])
+        open_ = {}
+        if refine:
+            cond = None
+            for st, (pref, bits, _) in refine.items():
+                k = _stratum_cond(strata, st) & _prefix_cond(bits, pref)
+                cond = k if cond is None else cond | k
+            bits_now = {b for _, b, _ in refine.values()}.pop()
+            sub = (x.where(cond).groupBy(*strata, F.shiftright("_rf_h", HASH_BITS - bits_now - LEVEL_BITS)
+                                         .bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)).alias("_rf_b"))
+                   .agg(F.count(F.lit(1)).alias("_rf_c")).collect())
+            got: dict = {}
+            for r in sub:
+                got.setdefault(tuple(r[c] for c in strata), []).append((r["_rf_b"], r["_rf_c"]))
+            for st, (pref, bits, need) in refine.items():
+                open_[st] = (pref, bits, need, got.get(st, []))
+    return result
+
+
+def smallest_predicate(df: DataFrame, key, seed, thresholds: dict, strata: Sequence[str] = ()):
+    """Boolean Column from :func:`smallest_thresholds`: a literal comparison
+    of (hash, key...) per stratum, so the plan stays a projection."""
+    keys, strata = _keys(key), list(strata)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    h = key_hash(keys, seed)
+    tup = F.struct(h.alias("h"), *[F.col(k).alias(k) for k in keys])
+    expr = None
+    for st, thr in thresholds.items():
+        if thr == "none":
+            continue
+        cond = _stratum_cond(strata, st)
+        if thr != "all":
+            lit = F.struct(F.lit(thr[0]).cast("bigint").alias("h"),
+                           *[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, thr[1:])])
+            cond = cond & (tup <= lit)
+        expr = cond if expr is None else expr | cond
+    return F.coalesce(expr, F.lit(False)) if expr is not None else F.lit(False)
+
+
 def mark_smallest(df: DataFrame, key, seed, fraction: float | None = None, n: int | None = None,
-                  strata: Sequence[str] = (), out: str = "selected", digits: int = PREFIX_DIGITS) -> DataFrame:
+                  strata: Sequence[str] = (), out: str = "selected") -> DataFrame:
     """Add boolean ``out``: the row is among the ``n`` (or ``floor(f*n_s+0.5)``
     per stratum) rows with the smallest (hash, key)."""
-    keys, strata = _keys(key), list(strata)
-    shift = HASH_BITS - 4 * digits
-    x = (df.withColumn("_rf_h", key_hash(keys, seed))
-           .withColumn("_rf_hb", F.shiftright("_rf_h", shift)))
-    grp = strata + ["_rf_hb"]
-    counts = x.groupBy(*grp).agg(F.count(F.lit(1)).alias("_rf_c"))
-    w_before = Window.partitionBy(*strata).orderBy("_rf_hb").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumns({
-        "_rf_before": F.coalesce(F.sum("_rf_c").over(w_before), F.lit(0)),
-        "_rf_ns": F.sum("_rf_c").over(Window.partitionBy(*strata)),
-    })
-    if n is not None:
-        target = F.lit(int(n))
-    else:
-        target = F.floor(F.lit(float(fraction)) * F.col("_rf_ns") + F.lit(0.5))
-    counts = counts.withColumn("_rf_need", target - F.col("_rf_before")).select(
-        *grp, F.when(F.col("_rf_need") >= F.col("_rf_c"), F.lit("all"))
-               .when(F.col("_rf_need") <= 0, F.lit("none")).otherwise(F.lit("cut")).alias("_rf_mode"),
-        "_rf_need")
-    if not strata:
-        counts = F.broadcast(counts)  # at most 16**digits rows
-    j = x.join(counts, grp, "inner")
-    whole = j.where(F.col("_rf_mode") != "cut").withColumn(out, F.col("_rf_mode") == "all")
-    cut = j.where(F.col("_rf_mode") == "cut")
-    ranked = sequential_id(cut, ["_rf_h", *keys], out="_rf_rank", partition_cols=grp)
-    ranked = ranked.withColumn(out, F.col("_rf_rank") < F.col("_rf_need")).drop("_rf_rank")
-    return whole.unionByName(ranked).drop("_rf_h", "_rf_hb", "_rf_mode", "_rf_need")
+    thr = smallest_thresholds(df, key, seed, fraction, n, strata)
+    return df.withColumn(out, smallest_predicate(df, key, seed, thr, strata))
 
 
 def sample_fraction(df: DataFrame, fraction: float, key, seed, exact: bool = False) -> DataFrame:
