@@ -1004,3 +1004,50 @@ def q_revenue_gap_orders(spark, d):
     j = o.join(rev, o.o_orderkey == rev.l_orderkey, "left")
     return j.select("o_orderkey", F.round(FX.signed_diff("o_totalprice", F.coalesce("rev", F.lit(0.0))), 4)
                     .alias("gap"))
+
+
+# ------------------------------------------------------------------ reports and catalogs
+def _metric_rows_sql() -> str:
+    from riskframe.operators.report import METRIC_ROWS
+    exprs = {
+        "accuracy": _sdiv_sql("tp + tn", "tn + fp + fn + tp"), "precision": _sdiv_sql("tp", "tp + fp"),
+        "recall": _sdiv_sql("tp", "tp + fn"), "specificity": _sdiv_sql("tn", "tn + fp"),
+        "f1": _sdiv_sql("2 * tp", "2 * tp + fp + fn"), "roc_auc": "roc_auc", "average_precision": "average_precision"}
+    parts = [f"SELECT {i} AS position, '{n}' AS Metric, {exprs[k]} AS v, '{f}' AS Formula FROM cm, auc"
+             for i, (n, k, f) in enumerate(METRIC_ROWS)]
+    return " UNION ALL ".join(parts)
+
+
+@query("metrics_report_events", f"""{CM_SQL},
+{CURVE_SQL.format(src='se')},
+auc AS (SELECT CAST(sum(CAST(neg AS HUGEINT) * (2 * tp - pos)) AS DOUBLE) / (2.0::DOUBLE * CAST(p AS DOUBLE) * CAST(n AS DOUBLE)) AS roc_auc,
+   sum(pos * (tp / (tp + fp))) / CAST(p AS DOUBLE) AS average_precision FROM cum, tot GROUP BY p, n),
+r AS ({_metric_rows_sql()})
+SELECT position, Metric, round(v, 9) AS value, Formula, {_fmt_sql('v', 4)} AS Value FROM r""")
+def q_metrics_report_events(spark, d):
+    from riskframe.operators.report import metrics_report
+    se = scored_events(spark, d).withColumn("prediction", M.apply_threshold("score", 0.5))
+    rep = metrics_report(se)
+    return rep.withColumn("value", R9(F.col("value")))
+
+
+@query("feature_catalog_customer", """
+WITH lv AS (SELECT DISTINCT c_mktsegment AS lev FROM customer),
+f AS (SELECT 0 AS position, 'c_acctbal' AS feature, false AS from_categorical
+  UNION ALL SELECT CAST(row_number() OVER (ORDER BY lev) AS INTEGER), 'c_mktsegment_' || lev, true FROM lv)
+SELECT position, feature, CAST((SELECT count(*) FROM f) AS INTEGER) AS total_features, from_categorical FROM f""")
+def q_feature_catalog_customer(spark, d):
+    """Feature names of a preprocessor fitted on customers,
+    written as run metadata, read back and listed."""
+    from riskframe.learn.prep import feature_names, pipeline
+    from riskframe.session import scratch_path
+    from riskframe.sources.catalog import feature_catalog
+    c = tb(spark, d, "customer")
+    model = pipeline(["c_acctbal"], ["c_mktsegment"]).fit(c)
+    names = feature_names(model, ["c_acctbal"], ["c_mktsegment"])
+    meta = {"models_available": [], "best_model": None, "feature_names": names,
+            "categorical_columns": ["c_mktsegment"], "numerical_columns": ["c_acctbal"],
+            "training_date": "", "performance": {}}
+    path = scratch_path(spark, "features_meta")
+    IO.write_run_metadata(spark, meta, path)
+    return feature_catalog(IO.read_run_metadata(spark, path))

@@ -1,7 +1,7 @@
 """Keyed table generation.
 
-Each generated cell is a pure function of (key, seed, column name) through
-:func:`riskframe.functions.hashing.key_hash`, so a table generated from the
+Each generated cell is a pure function of (key, seed, column name), the
+same md5-prefix hash as :func:`riskframe.functions.hashing.key_hash`, so a table generated from the
 keys of any DataFrame is the same in any partitioning and grows with it.
 Decimal columns are drawn on an integer grid and divided once, so every
 value is the exact double of a short decimal (no rounding ties).
@@ -12,44 +12,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.functions.hashing import key_hash
 
+def _unit(key: str, seed, name: str) -> str:
+    # 52 high bits of the 60-bit hash (md5 prefix), scaled to [0, 1)
+    h = (f"CAST(conv(substring(md5(concat_ws(':', CAST(`{key}` AS STRING), '{seed}/{name}')), 1, 15), 16, 10)"
+         f" AS BIGINT)")
+    return f"(CAST(shiftright({h}, 8) AS DOUBLE) / {float(1 << 52)!r}D)"
 
-def _unit(key: str, seed, name: str) -> Column:
-    # 52 high bits of the 60-bit hash, scaled to [0, 1)
-    return F.shiftright(key_hash([key], f"{seed}/{name}"), 8).cast("double") / F.lit(float(1 << 52))
 
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else repr(v)
 
-def column_expr(key: str, seed, name: str, kind: str, **p) -> Column:
+
+def column_sql(key: str, seed, name: str, kind: str, **p) -> str:
+    """Spark SQL text of one generated column (one parse, no per-call
+    round trips when building wide tables)."""
     u = _unit(key, seed, name)
     if kind == "offset":  # sequence: start + key
-        return (F.col(key) + F.lit(p.get("start", 0))).cast(p.get("type", "bigint"))
+        return f"CAST(`{key}` + {p.get('start', 0)} AS {p.get('type', 'bigint')})"
     if kind == "int":  # inclusive lo..hi
         lo, hi = p["lo"], p["hi"]
-        return (F.lit(lo) + F.floor(u * F.lit(float(hi - lo + 1)))).cast(p.get("type", "int"))
+        return f"CAST({lo} + floor({u} * {float(hi - lo + 1)!r}D) AS {p.get('type', 'int')})"
     if kind == "choice":
-        vals = p["values"]
-        return F.element_at(F.array(*[F.lit(v) for v in vals]), (F.floor(u * F.lit(float(len(vals)))) + 1).cast("int"))
+        vals = ", ".join(_lit(v) for v in p["values"])
+        return f"element_at(array({vals}), CAST(floor({u} * {float(len(p['values']))!r}D) + 1 AS INT))"
     if kind == "weighted":
-        expr, acc = None, 0.0
+        parts, acc = [], 0.0
         items = list(p["weights"].items())
         for v, w in items[:-1]:
             acc += w
-            cond = u < F.lit(acc)
-            expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-        return expr.otherwise(F.lit(items[-1][0]))
+            parts.append(f"WHEN {u} < {acc!r}D THEN {_lit(v)}")
+        return f"CASE {' '.join(parts)} ELSE {_lit(items[-1][0])} END"
     if kind == "grid":  # uniform over lo..hi on a 10^-decimals grid
         scale = 10 ** p["decimals"]
         lo, hi = round(p["lo"] * scale), round(p["hi"] * scale)
-        steps = F.floor(u * F.lit(float(hi - lo + 1)))
-        return ((F.lit(lo) + steps).cast("double") / F.lit(float(scale)))
+        return f"(CAST({lo} + floor({u} * {float(hi - lo + 1)!r}D) AS DOUBLE) / {float(scale)!r}D)"
     raise ValueError(f"unknown column kind {kind!r}")
 
 
+def column_expr(key: str, seed, name: str, kind: str, **p) -> Column:
+    return F.expr(column_sql(key, seed, name, kind, **p))
+
+
 def generate_table(keys: DataFrame, key: str, spec: list[tuple], seed, keep_key: bool = False) -> DataFrame:
     """Rows from per-column specs ``(name, kind, params)``, one per key row."""
-    cols = [column_expr(key, seed, name, kind, **params).alias(name) for name, kind, params in spec]
-    return keys.select(*([F.col(key)] if keep_key else []), *cols)
+    exprs = [f"{column_sql(key, seed, name, kind, **params)} AS `{name}`" for name, kind, params in spec]
+    return keys.selectExpr(*([f"`{key}`"] if keep_key else []), *exprs)
 
 
 def generate_range(spark: SparkSession, n: int, spec: list[tuple], seed) -> DataFrame:
