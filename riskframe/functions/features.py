@@ -118,15 +118,45 @@ def recommendation(p, low: float = 0.3, high: float = 0.7) -> Column:
             .otherwise(RECOMMENDATIONS[2]))
 
 
+_SPLIT = 134217729.0  # 2^27 + 1, Dekker's splitting constant
+
+
+def _split(v: float) -> tuple[float, float]:
+    t = _SPLIT * v
+    hi = t - (t - v)
+    return hi, v - hi
+
+
+def round_exact(col, decimals: int) -> Column:
+    """Round the exact binary value of a double to ``decimals`` places, ties
+    to even, as Python's ``format`` does (0.2105 -> 0.210 because the double
+    lies below the tie; 21.05 -> 21.1 because it lies above). The scaled value
+    is formed as an error-free product (Dekker), so the direction is decided
+    on the true value, not on the rounded product. All JVM-side arithmetic."""
+    x = _c(col).cast("double")
+    c = float(10 ** decimals)
+    ch, cl = _split(c)
+    p = x * F.lit(c)
+    t = x * F.lit(_SPLIT)
+    xh = t - (t - x)
+    xl = x - xh
+    err = ((xh * F.lit(ch) - p) + xh * F.lit(cl) + xl * F.lit(ch)) + xl * F.lit(cl)
+    f = F.floor(p).cast("double")
+    frac = p - f
+    up = (F.when(frac > 0.5, 1.0).when(frac < 0.5, 0.0)
+          .when(err > 0, 1.0).when(err < 0, 0.0)
+          .when(F.pmod(f, F.lit(2.0)) == 0, 0.0).otherwise(1.0))
+    res = (f + up) / F.lit(c)
+    return F.when((x < 0) & (res == 0), F.lit(-0.0)).otherwise(res)  # Python keeps "-0"
+
+
 def format_metric(col, decimals: int = 4, pct: bool = False) -> Column:
-    """fixed decimals as text; ``pct`` multiplies by 100 and adds '%'."""
+    """fixed decimals as text, rounded like Python's ``f"{x:.4f}"``;
+    ``pct`` multiplies by 100 first and adds '%'."""
     x = _c(col).cast("double")
     if pct:
-        x = x * F.lit(100)
-    # round half-even on the scaled binary value first, as Python's format
-    # does, then print: the printed digits never need rounding again
-    scale = float(10 ** decimals)
-    text = F.format_string(f"%.{decimals}f", F.bround(x * F.lit(scale), 0) / F.lit(scale))
+        x = x * F.lit(100.0)
+    text = F.format_string(f"%.{decimals}f", round_exact(x, decimals))
     return F.concat(text, F.lit("%")) if pct else text
 
 

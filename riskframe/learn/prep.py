@@ -2,8 +2,8 @@
 
 Numeric columns are assembled and standard-scaled; categorical columns are
 indexed alphabetically and one-hot encoded with every known level kept and
-unknown levels encoded as all zeros (indexer ``keep`` + encoder dropLast of
-the extra invalid slot)."""
+unknown levels encoded as all zeros (indexer ``keep`` adds one last index
+for unknowns; the encoder's dropLast removes exactly that slot)."""
 
 from __future__ import annotations
 
@@ -25,8 +25,9 @@ def encoder_stages(cat_cols: Sequence[str]) -> list:
     idx = [f"{c}__idx" for c in cat_cols]
     return [
         StringIndexer(inputCols=list(cat_cols), outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep"),
-        OneHotEncoder(inputCols=idx, outputCols=[f"{c}__oh" for c in cat_cols], dropLast=True,
-                      handleInvalid="keep"),
+        # the indexer's extra "unknown" index is the last category; dropLast
+        # removes exactly that slot, so unknown levels encode as all zeros
+        OneHotEncoder(inputCols=idx, outputCols=[f"{c}__oh" for c in cat_cols], dropLast=True),
     ]
 
 

@@ -44,9 +44,9 @@ def metrics_report(scored: DataFrame, points: DataFrame | None = None, decimals:
     c_ = ap.select(*[F.col(c) if c == "average_precision" else v.alias(c) for c, v in nulls.items()])
     one = a.unionByName(b).unionByName(c_).agg(*[F.max(c).alias(c) for c in nulls])
     rows = F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("Metric"),
-                                        F.col(k).alias("value"), F.lit(f).alias("Formula"))
+                                        F.col(k).alias("metric_value"), F.lit(f).alias("Formula"))
                                for i, (n, k, f) in enumerate(METRIC_ROWS)])).alias("r")
-    return one.select(rows).select("r.*").withColumn("Value", format_metric("value", decimals))
+    return one.select(rows).select("r.*").withColumn("Value", format_metric("metric_value", decimals))
 
 
 def threshold_table(scored: DataFrame, points: DataFrame | None = None,

@@ -766,9 +766,10 @@ def _threshold_table(df):
 
 
 def _fmt_sql(x, d, pct=False):
+    # DuckDB's printf rounds the exact binary value, ties to even, like Python
     if pct:
-        return f"printf('%.{d}f', round_even(({x}) * 100 * {10 ** d}, 0) / {float(10 ** d)}) || '%'"
-    return f"printf('%.{d}f', round_even(({x}) * {10 ** d}, 0) / {float(10 ** d)})"
+        return f"printf('%.{d}f', ({x}) * 100.0::DOUBLE) || '%'"
+    return f"printf('%.{d}f', {x})"
 
 
 def _threshold_table_sql(prefix, src):
@@ -864,13 +865,13 @@ def q_sample_with_replacement_customer(spark, d):
 
 
 @query("resize_up_customer", f"""
-WITH {CUST_NUMBERED}, {_draws_sql('(SELECT 2 * count(*) - 1000 FROM customer)', 15)}
+WITH {CUST_NUMBERED}, {_draws_sql('(SELECT count(*) FROM customer)', 15)}
 SELECT c_custkey, c_acctbal, c_custkey AS source_key, CAST(0 AS BIGINT) AS copy_no FROM customer
 UNION ALL SELECT cn.c_custkey, cn.c_acctbal, cn.c_custkey, draws.draw + 1 FROM draws JOIN cn ON draws.rowno = cn.rowno""")
 def q_resize_up_customer(spark, d):
     c = tb(spark, d, "customer").select("c_custkey", "c_acctbal")
     n = c.count()
-    return SA.resize_to(c, 2 * n - 1000 + n, "c_custkey", 15)
+    return SA.resize_to(c, 2 * n, "c_custkey", 15)
 
 
 @query("resize_down_customer", f"""
@@ -1023,12 +1024,12 @@ def _metric_rows_sql() -> str:
 auc AS (SELECT CAST(sum(CAST(neg AS HUGEINT) * (2 * tp - pos)) AS DOUBLE) / (2.0::DOUBLE * CAST(p AS DOUBLE) * CAST(n AS DOUBLE)) AS roc_auc,
    sum(pos * (tp / (tp + fp))) / CAST(p AS DOUBLE) AS average_precision FROM cum, tot GROUP BY p, n),
 r AS ({_metric_rows_sql()})
-SELECT position, Metric, round(v, 9) AS value, Formula, {_fmt_sql('v', 4)} AS Value FROM r""")
+SELECT position, Metric, round(v, 9) AS metric_value, Formula, {_fmt_sql('v', 4)} AS Value FROM r""")
 def q_metrics_report_events(spark, d):
     from riskframe.operators.report import metrics_report
     se = scored_events(spark, d).withColumn("prediction", M.apply_threshold("score", 0.5))
     rep = metrics_report(se)
-    return rep.withColumn("value", R9(F.col("value")))
+    return rep.withColumn("metric_value", R9(F.col("metric_value")))
 
 
 @query("feature_catalog_customer", """
