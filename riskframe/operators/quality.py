@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +47,12 @@ def inject_anomalies(df: DataFrame, key: str = "patient_id", copy_col: str = "co
     """Damage a clean table: 3% nulls in three columns, 1% copies appended,
     0.5% age=150, 0.5% tumor size=40, 0.5% rows deleted. After the copy step
     rows are keyed by (key, copy_no)."""
+    # each exact sample reads its input twice (threshold, then predicate):
+    # keep the input and the grown table rather than recompute them
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     x = _mark(df, [key], NULL_SEED, NULL_FRACTION, "_rf_m")
     x = set_where(x, F.col("_rf_m"), {c: None for c in NULL_COLUMNS if c in df.columns}).drop("_rf_m")
-    x = duplicate_rows(x, DUP_FRACTION, key, DUP_SEED, copy_col=copy_col)
+    x = duplicate_rows(x, DUP_FRACTION, key, DUP_SEED, copy_col=copy_col).persist(StorageLevel.MEMORY_AND_DISK)
     keys = [key, copy_col]
     x = _mark(x, keys, AGE_OUTLIER_SEED, AGE_OUTLIER_FRACTION, "_rf_m")
     x = set_where(x, F.col("_rf_m"), {"age": AGE_OUTLIER_VALUE}).drop("_rf_m")
@@ -79,7 +83,7 @@ def clean_table(df: DataFrame, key: str = "patient_id", copy_col: str = "copy_no
     x = impute(df, exclude=[key, *helpers], exact_median=exact_median)
     data_cols = [c for c in x.columns if c not in helpers]
     x = x.dropDuplicates(data_cols).select(*data_cols)
-    x = filter_ranges(x, CLEAN_RANGES)
+    x = filter_ranges(x, CLEAN_RANGES).persist(StorageLevel.MEMORY_AND_DISK)  # read by several passes below
     x = x.withColumn("source_key", F.col(key))
     if target_rows is not None:
         x = resize_to(x.drop("source_key"), target_rows, key, seed)

@@ -54,10 +54,21 @@ def column_expr(key: str, seed, name: str, kind: str, **p) -> Column:
     return F.expr(column_sql(key, seed, name, kind, **p))
 
 
+def spread(keys: DataFrame, key: str) -> DataFrame:
+    """Generation costs one md5 per cell, far more than scanning a key, so a
+    key table read as fewer partitions than the cluster has cores (one small
+    file is one task) is spread round-robin first. Only the key column is
+    shuffled; a key table that is already split is left as it is."""
+    par = keys.sparkSession.sparkContext.defaultParallelism
+    if keys.rdd.getNumPartitions() >= par:
+        return keys
+    return keys.select(key).repartition(par)
+
+
 def generate_table(keys: DataFrame, key: str, spec: list[tuple], seed, keep_key: bool = False) -> DataFrame:
     """Rows from per-column specs ``(name, kind, params)``, one per key row."""
     exprs = [f"{column_sql(key, seed, name, kind, **params)} AS `{name}`" for name, kind, params in spec]
-    return keys.selectExpr(*([f"`{key}`"] if keep_key else []), *exprs)
+    return spread(keys, key).selectExpr(*([f"`{key}`"] if keep_key else []), *exprs)
 
 
 def generate_range(spark: SparkSession, n: int, spec: list[tuple], seed) -> DataFrame:
