@@ -13,12 +13,14 @@ def sql_hash(keys: list[str], seed) -> str:
     return f"('0x' || substr(md5(concat_ws(':', {parts}, '{seed}')), 1, 15))::BIGINT"
 
 
-def sql_unit(key: str, seed, name: str) -> str:
-    return f"(CAST(({sql_hash([key], f'{seed}/{name}')} >> 8) AS DOUBLE) / 4503599627370496.0::DOUBLE)"
+def sql_unit(key: str, seed, slot: int) -> str:
+    h = f"md5(concat_ws(':', CAST({key} AS VARCHAR), '{seed}/{slot // 2}'))"
+    start = 1 + 13 * (slot % 2)
+    return f"(CAST(('0x' || substr({h}, {start}, 13))::BIGINT AS DOUBLE) / 4503599627370496.0::DOUBLE)"
 
 
-def sql_column(key: str, seed, name: str, kind: str, **p) -> str:
-    u = sql_unit(key, seed, name)
+def sql_column(key: str, seed, slot: int, kind: str, **p) -> str:
+    u = sql_unit(key, seed, slot)
     if kind == "offset":
         return f"CAST({key} + {p.get('start', 0)} AS BIGINT)"
     if kind == "int":
@@ -42,7 +44,7 @@ def sql_column(key: str, seed, name: str, kind: str, **p) -> str:
 
 
 def patients_sql(table: str, key: str, seed=42) -> str:
-    cols = ",\n  ".join(f"{sql_column(key, seed, n, k, **p)} AS {n}" for n, k, p in PATIENT_SPEC)
+    cols = ",\n  ".join(f"{sql_column(key, seed, i, k, **p)} AS {n}" for i, (n, k, p) in enumerate(PATIENT_SPEC))
     return f"SELECT\n  {cols}\nFROM {table}"
 
 

@@ -1,7 +1,7 @@
 """Keyed table generation.
 
-Each generated cell is a pure function of (key, seed, column name), the
-same md5-prefix hash as :func:`riskframe.functions.hashing.key_hash`, so a table generated from the
+Each generated cell is a pure function of (key, seed, column position): 52
+bits of an md5 of the key and seed, one md5 per two columns, so a table generated from the
 keys of any DataFrame is the same in any partitioning and grows with it.
 Decimal columns are drawn on an integer grid and divided once, so every
 value is the exact double of a short decimal (no rounding ties).
@@ -13,21 +13,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _unit(key: str, seed, name: str) -> str:
-    # 52 high bits of the 60-bit hash (md5 prefix), scaled to [0, 1)
-    h = (f"CAST(conv(substring(md5(concat_ws(':', CAST(`{key}` AS STRING), '{seed}/{name}')), 1, 15), 16, 10)"
-         f" AS BIGINT)")
-    return f"(CAST(shiftright({h}, 8) AS DOUBLE) / {float(1 << 52)!r}D)"
+def _unit(key: str, seed, slot: int) -> str:
+    """Uniform in [0, 1) for generated column number ``slot``: one md5 of
+    (key, seed, slot // 2) serves two columns, each reading its own 13 hex
+    digits (52 bits). Both columns share the md5 call through Spark's
+    common-subexpression elimination."""
+    h = f"md5(concat_ws(':', CAST(`{key}` AS STRING), '{seed}/{slot // 2}'))"
+    start = 1 + 13 * (slot % 2)
+    return f"(CAST(CAST(conv(substring({h}, {start}, 13), 16, 10) AS BIGINT) AS DOUBLE) / {float(1 << 52)!r}D)"
 
 
 def _lit(v) -> str:
     return f"'{v}'" if isinstance(v, str) else repr(v)
 
 
-def column_sql(key: str, seed, name: str, kind: str, **p) -> str:
-    """Spark SQL text of one generated column (one parse, no per-call
-    round trips when building wide tables)."""
-    u = _unit(key, seed, name)
+def column_sql(key: str, seed, slot: int, kind: str, **p) -> str:
+    """Spark SQL text of generated column number ``slot`` (one parse, no
+    per-call round trips when building wide tables)."""
+    u = _unit(key, seed, slot)
     if kind == "offset":  # sequence: start + key
         return f"CAST(`{key}` + {p.get('start', 0)} AS {p.get('type', 'bigint')})"
     if kind == "int":  # inclusive lo..hi
@@ -50,8 +53,8 @@ def column_sql(key: str, seed, name: str, kind: str, **p) -> str:
     raise ValueError(f"unknown column kind {kind!r}")
 
 
-def column_expr(key: str, seed, name: str, kind: str, **p) -> Column:
-    return F.expr(column_sql(key, seed, name, kind, **p))
+def column_expr(key: str, seed, slot: int, kind: str, **p) -> Column:
+    return F.expr(column_sql(key, seed, slot, kind, **p))
 
 
 def spread(keys: DataFrame, key: str) -> DataFrame:
@@ -67,7 +70,8 @@ def spread(keys: DataFrame, key: str) -> DataFrame:
 
 def generate_table(keys: DataFrame, key: str, spec: list[tuple], seed, keep_key: bool = False) -> DataFrame:
     """Rows from per-column specs ``(name, kind, params)``, one per key row."""
-    exprs = [f"{column_sql(key, seed, name, kind, **params)} AS `{name}`" for name, kind, params in spec]
+    exprs = [f"{column_sql(key, seed, i, kind, **params)} AS `{name}`"
+             for i, (name, kind, params) in enumerate(spec)]
     return spread(keys, key).selectExpr(*([f"`{key}`"] if keep_key else []), *exprs)
 
 
