@@ -12,6 +12,7 @@ positive), ``prediction`` 0/1.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +81,9 @@ def curve_points(df: DataFrame, label: str = "label", score: str = "score",
            .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                 F.sum((1 - F.col(label)).cast("long")).alias("neg"))
            .withColumn("_rf_desc", -F.col("score")))
+    # the prefix sum reads its input several times (count, boundaries,
+    # bucket totals, window): keep the distinct-score table, not the scan
+    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     cum = running_sum(pts, ["_rf_desc"], {"tp": "pos", "fp": "neg"}, buckets=buckets)
     return cum.drop("_rf_desc")
 
