@@ -152,7 +152,7 @@ def q_write_read_csv_orders(spark, d):
     path = scratch_path(spark, "orders_csv")
     IO.write_table(tb(spark, d, "orders"), path, fmt="csv")
     schema = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp, o_orderpriority string")
+              "o_orderdate timestamp_ntz, o_orderpriority string")  # as stored: no time zone
     return IO.read_table(spark, path, schema, fmt="csv")
 
 

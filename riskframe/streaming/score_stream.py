@@ -3,9 +3,10 @@
 Records arrive as files (JSON or Parquet) with a fixed schema; each
 micro-batch is validated (P12), feature-engineered, scored by a fitted
 ``PipelineModel`` and tiered. Valid rows and rejects go to their own sinks
-and a per-batch summary (A18) is appended through ``foreachBatch``. The
-query is stateless (append only), so the checkpoint holds only offsets; it
-lives in the shared checkpoint folder so a restarted driver resumes."""
+and a per-batch summary (A18) is written through ``foreachBatch``, each
+batch into its own ``batch_id=N`` directory with overwrite, so a replayed
+batch is idempotent. The query is stateless, so the checkpoint holds only
+offsets; it lives in the shared folder so a restarted driver resumes."""
 
 from __future__ import annotations
 
@@ -37,13 +38,13 @@ def score_stream(spark: SparkSession, source: str, schema: T.StructType, model,
         pred = model.transform(engineer_features(ok, scoring=True))
         prob = vector_to_array("probability")[1]
         scored = pred.select(F.col(id_col), F.col("prediction").cast("int").alias("prediction"),
-                             prob.alias("probability"), risk_tier(prob).alias("cancer_risk"),
-                             F.lit(epoch).cast("long").alias("batch_id"))
-        scored.write.mode("append").parquet(os.path.join(out_dir, "scored"))
-        bad.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(
-            os.path.join(out_dir, "rejected"))
-        batch_summary(scored).withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(
-            os.path.join(out_dir, "summary"))
+                             prob.alias("probability"), risk_tier(prob).alias("cancer_risk"))
+        # one directory per batch, overwritten: a batch replayed after a
+        # failure replaces its own output instead of appending it twice
+        part = f"batch_id={epoch}"
+        scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", part))
+        bad.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", part))
+        batch_summary(scored).write.mode("overwrite").parquet(os.path.join(out_dir, "summary", part))
         batch.unpersist()
 
     writer = (checked.writeStream.foreachBatch(per_batch)
