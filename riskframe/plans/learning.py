@@ -91,10 +91,8 @@ def q_evaluate_models_patients(spark, d):
     cands = {"Logistic Regression": MD.logistic(1.0, "l2", n_rows=n, max_iter=30),
              "Random Forest": MD.random_forest(30, 8),
              "Gradient Boosting": MD.gradient_boosting(20, 0.1, 3)}
-    rows = []
-    for pos, (name, est) in enumerate(cands.items()):
-        _, m = EV.evaluate_model(name, PP.pipeline(NUMERIC, CATS, est), tr, te)
-        rows.append(m | {"position": pos})
+    # one preprocessor fit and one transform of each side, shared by all models
+    _, rows = EV.evaluate_models(cands, Pipeline(stages=PP.preprocessor_stages(NUMERIC, CATS)), tr, te)
     res = spark.createDataFrame([(r["model"], r["position"], r["accuracy"], r["f1"], r["roc_auc"]) for r in rows],
                                 "model string, position int, accuracy double, f1 double, roc_auc double")
     best = EV.select_best(res).select(F.col("model").alias("best_model"))
