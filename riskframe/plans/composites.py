@@ -7,8 +7,6 @@ exactly as the library's composites do. Oracles spell each stage in DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskframe.operators import profile as PR
 from riskframe.operators import quality as Q
 from riskframe.plans.oracle import mark_sql, patients_sql

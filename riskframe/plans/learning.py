@@ -8,7 +8,6 @@ times, and a lost executor then rereads it instead of the whole lineage)."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
