@@ -17,7 +17,7 @@ from riskframe.session import cut_lineage
 #: Text held as Python words at one time, in bytes. Bounds a task's memory.
 CHUNK_BYTES = 4 << 20
 #: Words whose derived values a task keeps before it starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

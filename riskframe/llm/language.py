@@ -47,6 +47,8 @@ NAMES = [*SCRIPTS, "other"]
 
 def script_of(word: str) -> int:
     """Place in NAMES of the script of a word's first letter; -1 without letters."""
+    if word[0].isascii() and word[0].isalpha():
+        return 0
     for c in word:
         if c.isalpha():
             x = ord(c)
@@ -69,7 +71,7 @@ class Languages:
         """A word's score per language (0 without letters) and, last, its letters."""
         n, k = len(words), len(self.names)
         script = np.fromiter(map(script_of, words), np.int64, n)
-        letters = np.fromiter((sum(map(str.isalpha, w)) for w in words), np.float32, n)
+        letters = np.fromiter((len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in words), np.float32, n)
         ids, owner = subword_ids([w.lower() for w in words], BUCKETS, SIZES)
         score = mean_by_owner(self.logp[ids], owner, n) * np.sqrt(np.bincount(owner, minlength=n))[:, None]
         score -= score.max(axis=1, keepdims=True, initial=-np.inf) if k else 0

@@ -57,7 +57,7 @@ class WordTable:
     Holds at most ``limit`` words between calls, so its memory is bounded.
     """
 
-    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, limit: int = 400_000):
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, limit: int = 700_000):
         self.compute, self.width, self.limit = compute, width, limit
         self._empty()
 
@@ -70,7 +70,7 @@ class WordTable:
         if len(self.place) > self.limit:
             self._empty()
         place, n = self.place, len(self.place)
-        new = list(set(words).difference(place))
+        new = list({w for w in words if w not in place})
         if new:
             place.update(zip(new, range(n, n + len(new)), strict=True))
             if len(place) > len(self.rows):

@@ -1,18 +1,17 @@
 """Byte-level BPE ids of whole texts.
 
-Pre-tokens of this vocabulary never reach back over a space that follows a
-non-space, so a text may be cut before such spaces and the cuts encoded apart.
-Each task therefore encodes each different cut once, through the tokenizer's own
-batch call, and joins the kept ids. Texts with other white space before a space
-are encoded whole.
+Pre-tokens of this vocabulary never reach back over a space or line end that
+follows a non-space, so a text may be cut there and the cuts encoded apart. Marks
+that end a cut after a letter or digit are a pre-token of their own too. Each task
+therefore encodes each different cut once, through the tokenizer's own batch call,
+and joins the kept ids. Texts with longer runs of white space are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 from functools import lru_cache
-
-import numpy as np
+from struct import pack
 
 from riskframe.llm.common import CACHE_WORDS
 
@@ -23,6 +22,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Marks that may close a cut.
+MARKS = ".,;:!?"
+#: The last letter up to which every Unicode version agrees on what is a letter.
+LATIN = "\u024f"
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -37,30 +42,59 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
+        # how this vocabulary writes a byte: printable Latin-1 as itself, the others as letters from U+0100 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+        self.lead = self.letters[32]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        return [pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False))]
+
+    def _learn(self, cuts: set[str]) -> None:
+        """Keeps the ids of new cuts; each is encoded without its closing marks, those apart."""
+        kept, split = self.kept, {}
+        for c in cuts:
+            core = c.rstrip(MARKS)
+            if core != c and core[-1:].isalnum():
+                split[c] = (core, "\0" + c[len(core) :])
+        new = list({x for c in cuts for x in split.get(c, (c,))}.difference(kept))
+        plain = [x for x in new if x.isalpha() and max(x) <= LATIN]
+        new = [x for x in new if not (x.isalpha() and max(x) <= LATIN)]
+        # letters after a space are one pre-token: its bytes, in the vocabulary's letters, go straight to the model
+        lead, letters, merge = self.lead, self.letters, self.tok.model.tokenize
+        for x in plain:
+            word = x if x.isascii() else x.encode().decode("latin-1").translate(letters)
+            ids = [t.id for t in merge(lead + word)]
+            kept[x] = pack(f"<{len(ids)}I", *ids)
+        # a line's first cut has its line end, marks (kept after a zero) stand alone, all others follow a space
+        kept.update(zip(new, self._ids([x if x[0] == "\n" else x[1:] if x[0] == "\0" else " " + x for x in new]), strict=True))
+        kept.update((c, kept[core] + kept[marks]) for c, (core, marks) in split.items())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null and empty texts have none."""
         cut, whole, out = [], [], [b""] * len(texts)
+        if len(self.kept) > CACHE_WORDS:
+            self.kept.clear()
+        kept = self.kept
+        new: set[str] = set()
         for i, t in enumerate(texts):
             if not t:
                 continue
-            parts = t.split(" ")
-            # a part that is empty or ends in white space would share its pre-token with the next
-            if "" in parts[1:] or any(p[-1:].isspace() for p in parts[:-1]):
+            parts = t.replace("\n", " \n").split(" ")
+            head = parts.pop(0)
+            ids = list(map(kept.get, parts))
+            unknown = [p for p, x in zip(parts, ids, strict=True) if x is None] if None in ids else ()
+            # a cut that is empty or ends in white space would share its pre-token with the next
+            if head[-1:].isspace() or any(not p or p[-1].isspace() or "\0" in p for p in unknown):
                 whole.append(i)
             else:
-                cut.append((i, parts))
-        if len(self.kept) > CACHE_WORDS:
-            self.kept.clear()
-        kept = self.kept
-        new = list({p for _, parts in cut for p in parts[1:]}.difference(kept))
-        kept.update(zip(new, self._ids([" " + p for p in new]), strict=True))
-        heads = self._ids([parts[0] for _, parts in cut])
-        for (i, parts), head in zip(cut, heads, strict=True):
-            out[i] = head + b"".join(map(kept.__getitem__, parts[1:]))
+                new.update(unknown)
+                cut.append((i, head, parts, ids))
+        self._learn(new)
+        for (i, _, parts, ids), first in zip(cut, self._ids([x[1] for x in cut]), strict=True):
+            if None in ids:
+                ids = [kept[p] if x is None else x for p, x in zip(parts, ids, strict=True)]
+            out[i] = first + b"".join(ids)
         for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
