@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language, packing, quality, token_counts
+from riskframe.llm import language, packing, quality, token_counts, toxicity
 from riskframe.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,12 @@ def op5(spark, d):
 @query("op9_packing")
 def op9(spark, d):
     return packing.pack(packing.token_pieces(table(spark, d, "documents")))
+
+
+@query("op10_toxicity")
+def op10(spark, d):
+    docs = table(spark, d, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, d, "labels"))
+    held = held_out("doc_id", toxicity.FOLDS, toxicity.FOLD).alias("held_out")
+    return toxicity.score_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id", held, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
