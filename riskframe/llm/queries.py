@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language, packing, quality, token_counts, toxicity
+from riskframe.llm import archives, decontaminate, kdtree, language, packing, quality, token_counts, toxicity
 from riskframe.llm.common import held_out, table
+from riskframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +33,22 @@ def op1(spark, d):
         "doc_id", held, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op2_topk", """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT DISTINCT vec_id, v FROM e WHERE vec_id % 100 = 0),
+s AS (SELECT q.vec_id AS query_id, q.v, e.vec_id, CAST(list_dot_product(q.v, e.v) AS BIGINT) AS score
+  FROM q JOIN e ON e.vec_id <> q.vec_id AND len(e.v) = len(q.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10
+""")
+def op2(spark, d):
+    return kdtree.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op3_language")
 def op3(spark, d):
     docs = table(spark, d, "documents")
@@ -40,11 +57,55 @@ def op3(spark, d):
     return language.identify(docs, model).select("doc_id", held, "lang_pred", "score", "n_spans")
 
 
+@query("op4_archives", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+r AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS k,
+    min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM s)
+SELECT page_id, payload_bytes, payload_digest, true AS digest_ok,
+  CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND k > 1 THEN first_page END AS refers_to
+FROM r
+""")
+def op4(spark, d):
+    path = scratch_path(spark, "warc")
+    archives.write_warc(archives.mark_revisits(archives.arc_to_warc(archives.pages_to_arc(table(spark, d, "pages")))), path)
+    back = archives.read_warc(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
 @query("op5_token_counts")
 def op5(spark, d):
     return token_counts.length_histogram(token_counts.token_lengths(table(spark, d, "documents")))
 
 
+_ITEM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op8_decontaminate", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size,
+    unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS win
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT r, size, unnest(range(1, len(w) - size + 2)) AS p,
+    unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS win
+  FROM d, sizes WHERE len(w) >= size),
+hits AS (SELECT r, p, size, item_id FROM dw JOIN bw USING (size, win)),
+words AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS x FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+""")
+def op8(spark, d):
+    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.drop("text_hash", "spans")
+
+
 @query("op9_packing")
 def op9(spark, d):
     return packing.pack(packing.token_pieces(table(spark, d, "documents")))
