@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import archives, decontaminate, kdtree, language, packing, quality, token_counts, toxicity
+from riskframe.llm import archives, decontaminate, kdtree, language, packing, quality, substrings, token_counts, toxicity
 from riskframe.llm.common import held_out, table
 from riskframe.session import scratch_path
 
@@ -79,6 +79,27 @@ def op5(spark, d):
     return token_counts.length_histogram(token_counts.token_lengths(table(spark, d, "documents")))
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query("op6_substrings", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+win AS (SELECT r, doc_id, unnest(range(1, len(w) - 11)) AS p,
+    unnest([array_to_string(w[i:i + 12], ' ') FOR i IN range(1, len(w) - 11)]) AS s
+  FROM d WHERE len(w) >= 13),
+least AS (SELECT s, min(doc_id) AS first_doc FROM win GROUP BY s),
+gone AS (SELECT DISTINCT r, p + k AS i FROM win JOIN least USING (s), range(13) AS t(k) WHERE first_doc < doc_id),
+words AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+""")
+def op6(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 _ITEM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 

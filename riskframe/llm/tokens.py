@@ -10,6 +10,7 @@ and joins the kept ids. Texts with longer runs of white space are encoded whole.
 from __future__ import annotations
 
 import os
+from collections import Counter
 from functools import lru_cache
 from struct import pack
 
@@ -24,6 +25,8 @@ def default_tokenizer() -> str:
 
 #: Marks that may close a cut.
 MARKS = ".,;:!?"
+#: Cuts in the small table that is looked up first.
+OFTEN = 20_000
 #: The last letter up to which every Unicode version agrees on what is a letter.
 LATIN = "\u024f"
 
@@ -42,6 +45,7 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
+        self.often: dict[str, bytes] = {}
         # how this vocabulary writes a byte: printable Latin-1 as itself, the others as letters from U+0100 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
@@ -75,26 +79,29 @@ class Encoder:
         cut, whole, out = [], [], [b""] * len(texts)
         if len(self.kept) > CACHE_WORDS:
             self.kept.clear()
-        kept = self.kept
+        kept, often = self.kept, self.often
         new: set[str] = set()
         for i, t in enumerate(texts):
             if not t:
                 continue
             parts = t.replace("\n", " \n").split(" ")
             head = parts.pop(0)
-            ids = list(map(kept.get, parts))
-            unknown = [p for p, x in zip(parts, ids, strict=True) if x is None] if None in ids else ()
+            ids = list(map(often.get, parts))
+            rest = [p for p, x in zip(parts, ids, strict=True) if x is None]
+            unknown = [p for p in rest if p not in kept]
             # a cut that is empty or ends in white space would share its pre-token with the next
             if head[-1:].isspace() or any(not p or p[-1].isspace() or "\0" in p for p in unknown):
                 whole.append(i)
             else:
                 new.update(unknown)
-                cut.append((i, head, parts, ids))
+                cut.append((i, head, ids, rest))
         self._learn(new)
-        for (i, _, parts, ids), first in zip(cut, self._ids([x[1] for x in cut]), strict=True):
-            if None in ids:
-                ids = [kept[p] if x is None else x for p, x in zip(parts, ids, strict=True)]
-            out[i] = first + b"".join(ids)
+        for (i, _, ids, rest), first in zip(cut, self._ids([x[1] for x in cut]), strict=True):
+            seldom = map(kept.__getitem__, rest)
+            out[i] = first + b"".join([next(seldom) if x is None else x for x in ids])
+        if not often:
+            # the commonest cuts of the first texts have a small table of their own, which stays in the processor's cache
+            often.update((p, kept[p]) for p, _ in Counter(p for _, _, _, rest in cut for p in rest).most_common(OFTEN))
         for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
