@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import archives, decontaminate, kdtree, language, packing, quality, substrings, token_counts, toxicity
+from riskframe.llm import archives, decontaminate, kdtree, language, packing, parity, quality, substrings, token_counts, toxicity
 from riskframe.llm.common import held_out, table
 from riskframe.session import scratch_path
 
@@ -100,6 +100,26 @@ def op6(spark, d):
     return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+_LOWER_WORDS = _WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+
+@query("op7_similar", f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN '=' ELSE '' END ||
+    unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS g
+  FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 75 * (na.n + nb.n - shared)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id, n.n
+""")
+def op7(spark, d):
+    return parity.similar_documents(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 _ITEM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 

@@ -59,11 +59,12 @@ def anchors(h: np.ndarray, sizes: np.ndarray, window: int = WINDOW, gram: int =
     return out, whole
 
 
-def hash_words(batch: pa.RecordBatch, column: int, seen: Words):
-    """(rows lo..hi, words of each row, all hashes, word counts) for chunks of a batch."""
+def hash_words(batch: pa.RecordBatch, column: int, seen: Words, lower: bool = False):
+    """(rows lo..hi, words of each row, all hashes, word counts) for chunks of a batch; ``lower``: A-Z lower-cased."""
     for lo, hi in chunks(batch, column):
         seen.trim()
-        words = [(t or b"").split() for t in batch.column(column).slice(lo, hi - lo).to_pylist()]
+        texts = [t or b"" for t in batch.column(column).slice(lo, hi - lo).to_pylist()]
+        words = [t.lower().split() for t in texts] if lower else [t.split() for t in texts]
         flat = [w for x in words for w in x]
         yield lo, hi, words, seen.of(flat, np.uint64), np.fromiter(map(len, words), np.int64, len(words))
 
