@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import packing, quality
+from riskframe.llm import decontaminate, packing, parity, quality, substrings
 from riskframe.llm.common import table
 from riskframe.session import scratch_path
 
@@ -21,12 +21,35 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score_quality(docs, model, score_col="_quality").where(F.col("_quality") >= quality.THRESHOLD).drop("_quality")
 
 
+def keep_first_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each component of similar ones."""
+    return parity.keep_one(docs)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that documents with smaller ids have; texts that lose all their words go."""
+    cut = substrings.remove_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of any benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences."""
     return packing.pack(packing.token_pieces(docs))
 
 
-STAGES = [("quality", keep_quality), ("packing", pack)]
+STAGES = [
+    ("quality", keep_quality),
+    ("similar", keep_first_similar),
+    ("substrings", remove_repeats),
+    ("benchmark", remove_contaminated),
+    ("packing", pack),
+]
+#: Training and packing have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
