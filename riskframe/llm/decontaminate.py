@@ -50,8 +50,8 @@ def fingerprints(df: DataFrame, short: list[int]) -> DataFrame:
     df = df.withColumn("g", F.transform(windows_of(h, n, GRAM), lambda i: run_hash(h, i, GRAM)))
     g, span = F.col("g"), WINDOW - GRAM + 1
     least = F.transform(windows_of(g, F.size(g), span), lambda i: F.least(*[g[i + k] for k in range(span)]))
-    runs = [F.transform(windows_of(h, n, k), lambda i, k=k: run_hash(h, i, k, 1)) for k in short]
-    fps = F.array_distinct(F.concat(least, *runs))
+    runs = lambda k: F.transform(windows_of(h, n, k), lambda i: run_hash(h, i, k, 1))
+    fps = F.array_distinct(F.concat(least, *map(runs, short)))
     return df.withColumn("fps", fps).drop("g", "h")
 
 
