@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast only below this many rows; above it the join shuffles.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def attach_labels(x: DataFrame, y: DataFrame, key, how: str = "inner") -> DataFrame:
     """Labels (or predictions) attached by key, never by position. The
@@ -25,11 +22,10 @@ def drop_keys(df: DataFrame, keys: DataFrame, key) -> DataFrame:
 def lookup_table(df: DataFrame, table: DataFrame, key: str, value: str, default=None,
                  out: str | None = None, table_key: str | None = None) -> DataFrame:
     """J3 (table form): left join a lookup table, unknown keys get ``default``.
-    The table is broadcast only after its row count is checked."""
+    A key that the table repeats has its smallest value, so rows never multiply.
+    Whether the table is broadcast is left to the planner, which knows its size."""
     tk = table_key or key
-    t = table.select(F.col(tk).alias("_rf_lk"), F.col(value).alias("_rf_lv"))
-    if t.count() <= BROADCAST_ROW_LIMIT:
-        t = F.broadcast(t)
+    t = table.groupBy(F.col(tk).alias("_rf_lk")).agg(F.min(value).alias("_rf_lv"))
     j = df.join(t, df[key] == t["_rf_lk"], "left")
     return j.withColumn(out or value, F.coalesce(F.col("_rf_lv"), F.lit(default))).drop("_rf_lk", "_rf_lv")
 

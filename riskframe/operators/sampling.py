@@ -10,8 +10,13 @@ stratum that straddles the cut is refined by further prefix bits until it is
 small, and only it is ranked. The result is a literal threshold tuple per
 stratum, so the sample is a plain predicate ``(hash, key) <= threshold``:
 no union or join, and chained samples keep a small plan. A stratum holding
-most rows is spread over its hash buckets like any other. Keys must be
-unique for the exact forms to be deterministic.
+most rows is spread over its hash buckets like any other.
+
+With more than ``LITERAL_STRATA`` strata, or where rows with one key lie across
+the cut, rows are numbered in (hash, key) order per stratum instead and compared
+with the stratum's target by a join; rows with one key are told apart by a
+number that is written to the checkpoint folder first. Sizes are then exact too,
+but which of several rows with one key is taken depends on how they are stored.
 """
 
 from __future__ import annotations
@@ -25,12 +30,14 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.hashing import HASH_BITS, hash_below, key_hash
 from riskframe.operators.prefix import sequential_id
+from riskframe.session import cut_lineage
 
 # Each refinement level splits a hash-prefix bucket into 4096 sub-buckets;
 # a cut bucket at or below RANK_LIMIT rows per stratum is ranked directly.
 LEVEL_BITS = 12
 RANK_LIMIT = 200_000
-MAX_STRATA = 4096
+# Strata whose thresholds are kept as literals; beyond, they stay in Spark.
+LITERAL_STRATA = 64
 
 
 def _keys(key) -> list[str]:
@@ -51,8 +58,8 @@ def _prefix_cond(bits: int, prefix: int):
 def smallest_thresholds(df: DataFrame, key, seed, fraction: float | None = None, n: int | None = None,
                         strata: Sequence[str] = ()) -> dict:
     """Per stratum: 'all', 'none', or the (hash, key...) tuple of the last row
-    taken when rows are ordered by (hash, key). The target per stratum is
-    ``n`` or ``floor(f * n_s + 0.5)``.
+    taken when rows are ordered by (hash, key); 'tie' where the next row has
+    that tuple too. The target per stratum is ``n`` or ``floor(f * n_s + 0.5)``.
 
     Rows are counted per 12-bit hash prefix (a few thousand small rows per
     stratum reach the driver); the bucket holding the cut is refined by the
@@ -65,8 +72,6 @@ def smallest_thresholds(df: DataFrame, key, seed, fraction: float | None = None,
     per: dict = {}
     for r in rows:
         per.setdefault(tuple(r[c] for c in strata), []).append((r["_rf_b"], r["_rf_c"]))
-    if len(per) > MAX_STRATA:
-        raise ValueError(f"{len(per)} strata exceed the cap {MAX_STRATA}")
     result, open_ = {}, {}
     for st, buckets in per.items():
         total = sum(c for _, c in buckets)
@@ -97,10 +102,11 @@ def smallest_thresholds(df: DataFrame, key, seed, fraction: float | None = None,
             ranked = x.where(cond).withColumn("_rf_rn", F.row_number().over(w))
             want = None
             for st, (_, _, need) in rank_now.items():
-                k = _stratum_cond(strata, st) & (F.col("_rf_rn") == need)
+                k = _stratum_cond(strata, st) & F.col("_rf_rn").between(need, need + 1)
                 want = k if want is None else want | k
-            for r in ranked.where(want).collect():
-                result[tuple(r[c] for c in strata)] = tuple([r["_rf_h"]] + [r[k] for k in keys])
+            for r in sorted(ranked.where(want).collect(), key=lambda r: r["_rf_rn"]):
+                st, tup = tuple(r[c] for c in strata), tuple([r["_rf_h"]] + [r[k] for k in keys])
+                result[st] = "tie" if result.get(st) == tup else result.get(st, tup)
         open_ = {}
         if refine:
             cond = None
@@ -143,8 +149,25 @@ def mark_smallest(df: DataFrame, key, seed, fraction: float | None = None, n: in
                   strata: Sequence[str] = (), out: str = "selected") -> DataFrame:
     """Add boolean ``out``: the row is among the ``n`` (or ``floor(f*n_s+0.5)``
     per stratum) rows with the smallest (hash, key)."""
-    thr = smallest_thresholds(df, key, seed, fraction, n, strata)
-    return df.withColumn(out, smallest_predicate(df, key, seed, thr, strata))
+    few = not strata or df.select(*strata).distinct().limit(LITERAL_STRATA + 1).count() <= LITERAL_STRATA
+    thr = smallest_thresholds(df, key, seed, fraction, n, strata) if few else {}
+    if few and "tie" not in thr.values():
+        return df.withColumn(out, smallest_predicate(df, key, seed, thr, strata))
+    return _mark_by_number(df, _keys(key), seed, fraction, n, list(strata), out)
+
+
+def _mark_by_number(df, keys, seed, fraction, n, strata, out) -> DataFrame:
+    """:func:`mark_smallest` by numbering each stratum's rows; any number of
+    strata, null strata included, and any number of rows per key."""
+    x = cut_lineage(df.withColumns({"_rf_h": key_hash(keys, seed), "_rf_row": F.monotonically_increasing_id()}))
+    numbered = sequential_id(x, ["_rf_h", *keys, "_rf_row"], out="_rf_no", partition_cols=strata)
+    sizes = x.groupBy(*[F.col(c).alias(f"{c}_rf_st") for c in strata]).agg(F.count(F.lit(1)).alias("_rf_size"))
+    target = F.lit(int(n)) if n is not None else F.floor(F.lit(float(fraction)) * F.col("_rf_size") + 0.5)
+    sizes = sizes.withColumn("_rf_take", target).drop("_rf_size")
+    on = [F.col(c).eqNullSafe(F.col(f"{c}_rf_st")) for c in strata]
+    marked = numbered.join(sizes, on, "inner") if strata else numbered.crossJoin(F.broadcast(sizes))  # one row
+    marked = marked.withColumn(out, F.col("_rf_no") < F.col("_rf_take"))
+    return marked.select(*[c for c in df.columns if c != out], out)
 
 
 def sample_fraction(df: DataFrame, fraction: float, key, seed, exact: bool = False) -> DataFrame:

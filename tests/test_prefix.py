@@ -3,7 +3,10 @@ bucket count, including a hot order value holding most rows."""
 
 from pyspark.sql import functions as F
 
-from riskframe.operators.prefix import choose_boundaries, running_sum, sequential_id
+import pytest
+
+from riskframe.operators import prefix
+from riskframe.operators.prefix import bucket_expr, choose_boundaries, running_sum, sequential_id
 
 
 def _data(spark, n=2000):
@@ -45,6 +48,41 @@ def test_running_sum_inclusive_and_exclusive(spark):
 
 
 def test_boundaries_split_hot_value(spark):
-    bounds = choose_boundaries(_data(spark, 4000), ["v", "k"], buckets=8)
+    bounds = choose_boundaries(_data(spark, 4000), ["v", "k"], 8, 4000)
     # several boundaries fall inside the hot value 7, so it is not one task
     assert sum(1 for b in bounds if b[0] == 7) >= 3
+
+
+def _nulls(spark, n=600):
+    """Null order keys, null groups, and a tie-break that is never null."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 50).alias("v"), F.col("id").alias("k"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("g"))
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 16])
+@pytest.mark.parametrize("tree", [1024, 1])
+def test_null_groups_and_order_keys(spark, monkeypatch, buckets, tree):
+    monkeypatch.setattr(prefix, "TREE_BUCKETS", tree)
+    df = _nulls(spark)
+    local = sorted(df.collect(), key=lambda r: (r["v"] is not None, r["v"] or 0, r["k"]))
+    got = {r["k"]: r["rid"] for r in sequential_id(df, ["v", "k"], "rid", buckets=buckets).collect()}
+    assert got == {r["k"]: i for i, r in enumerate(local)}
+    per = {r["k"]: r["rid"] for r in sequential_id(df, ["v", "k"], "rid", partition_cols=["g"], buckets=buckets).collect()}
+    assert len(per) == 600
+    for g in (None, 1, 2, 3):
+        assert [per[r["k"]] for r in local if r["g"] == g] == list(range(sum(r["g"] == g for r in local)))
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 16])
+def test_a_single_order_column_puts_nulls_first(spark, buckets):
+    df = spark.range(100).select(F.when(F.col("id") >= 5, F.col("id")).alias("v"))
+    got = sequential_id(df, ["v"], "rid", buckets=buckets).collect()
+    assert sorted(r["rid"] for r in got if r["v"] is None) == [0, 1, 2, 3, 4]
+    assert all(r["rid"] == r["v"] for r in got if r["v"] is not None)
+
+
+def test_buckets_of_a_sorted_table_are_even(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    x = df.withColumn("b", bucket_expr(df, ["k"], choose_boundaries(df, ["k"], 32, 200_000)))
+    assert max(r["count"] for r in x.groupBy("b").count().collect()) < 3 * 200_000 / 32
