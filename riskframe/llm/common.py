@@ -16,8 +16,9 @@ from riskframe.session import cut_lineage
 
 #: Text held as Python words at one time, in bytes. Bounds a task's memory.
 CHUNK_BYTES = 4 << 20
-#: Words whose derived values a task keeps before it starts afresh.
+#: Words whose ids, and whose hashes, a task keeps before it starts afresh.
 CACHE_WORDS = 800_000
+HASH_WORDS = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +67,7 @@ class Words(dict):
         return v
 
     def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
+        if len(self) > HASH_WORDS:
             self.clear()
 
     def of(self, words: list, dtype) -> np.ndarray:

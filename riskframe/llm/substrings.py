@@ -22,6 +22,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,11 +137,15 @@ def shared_anchors(docs: DataFrame, parts: int, window: int, gram: int) -> DataF
 
 
 def run_blob(segments: list[bytes], docs: np.ndarray, texts: np.ndarray, starts: np.ndarray) -> bytes:
+    """Runs of words with their document, text hash and first word; compressed, as most words come several times."""
+    order = sorted(range(len(segments)), key=segments.__getitem__)
     head = np.array([len(segments)], np.int64)
-    return head.tobytes() + docs.tobytes() + texts.tobytes() + starts.tobytes() + b"\n".join(segments)
+    data = head.tobytes() + docs[order].tobytes() + texts[order].tobytes() + starts[order].tobytes() + b"\n".join([segments[i] for i in order])
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
 def runs_of(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(data)
     n = int(np.frombuffer(data, np.int64, 1)[0])
     d, t, s = (np.frombuffer(data, np.int64, n, 8 + 8 * n * i) for i in range(3))
     return data[8 + 24 * n :].split(b"\n") if n else [], d, t, s
