@@ -10,7 +10,6 @@ and joins the kept ids. Texts with longer runs of white space are encoded whole.
 from __future__ import annotations
 
 import os
-from collections import Counter
 from functools import lru_cache
 from struct import pack
 
@@ -25,8 +24,9 @@ def default_tokenizer() -> str:
 
 #: Marks that may close a cut.
 MARKS = ".,;:!?"
-#: Cuts in the small table that is looked up first.
-OFTEN = 20_000
+SEEN = 1 << 23
+#: White space other than the space and the line end, in any Unicode version.
+OTHER_SPACE = [chr(c) for c in (*range(9, 14), *range(28, 32), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000) if c != 10]
 #: The last letter up to which every Unicode version agrees on what is a letter.
 LATIN = "\u024f"
 
@@ -45,63 +45,76 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
-        self.often: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN)  # by hash, whether a cut may have come before
+        self.id_bytes = [pack("<I", i) for i in range(self.tok.get_vocab_size())]
         # how this vocabulary writes a byte: printable Latin-1 as itself, the others as letters from U+0100 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
         self.lead = self.letters[32]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False))]
+        one = self.id_bytes
+        return [b"".join([one[i] for i in e.ids]) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, cuts: set[str]) -> None:
-        """Keeps the ids of new cuts; each is encoded without its closing marks, those apart."""
-        kept, split = self.kept, {}
+    def _learn(self, cuts: set[str]) -> dict[str, bytes]:
+        """The ids of new cuts. Letters after a space are one pre-token: its bytes, in the
+        vocabulary's letters, go straight to the model. All other cuts are encoded.
+
+        Most words of a corpus come once; only cuts met in an earlier call too are kept."""
+        marks, one, merge, lead = self.marks, self.id_bytes, self.tok.model.tokenize, self.lead
+        rest, fresh = [], {}
         for c in cuts:
             core = c.rstrip(MARKS)
-            if core != c and core[-1:].isalnum():
-                split[c] = (core, "\0" + c[len(core) :])
-        new = list({x for c in cuts for x in split.get(c, (c,))}.difference(kept))
-        plain = [x for x in new if x.isalpha() and max(x) <= LATIN]
-        new = [x for x in new if not (x.isalpha() and max(x) <= LATIN)]
-        # letters after a space are one pre-token: its bytes, in the vocabulary's letters, go straight to the model
-        lead, letters, merge = self.lead, self.letters, self.tok.model.tokenize
-        for x in plain:
-            word = x if x.isascii() else x.encode().decode("latin-1").translate(letters)
-            ids = [t.id for t in merge(lead + word)]
-            kept[x] = pack(f"<{len(ids)}I", *ids)
-        # a line's first cut has its line end, marks (kept after a zero) stand alone, all others follow a space
-        kept.update(zip(new, self._ids([x if x[0] == "\n" else x[1:] if x[0] == "\0" else " " + x for x in new]), strict=True))
-        kept.update((c, kept[core] + kept[marks]) for c, (core, marks) in split.items())
+            if not core.isalpha() or not core.isascii() and max(core) > LATIN:
+                rest.append(c)
+                continue
+            word = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([one[t.id] for t in merge(lead + word)])
+            if len(core) < len(c):
+                end = c[len(core) :]
+                if end not in marks:
+                    marks[end] = self._ids([end])[0]
+                ids += marks[end]
+            fresh[c] = ids
+        # a line's first cut has its line end, all others follow a space
+        fresh.update(zip(rest, self._ids([c if c[0] == "\n" else " " + c for c in rest]), strict=True))
+        seen, kept = self.seen, self.kept
+        for c, ids in fresh.items():
+            at = hash(c) % SEEN
+            if seen[at]:
+                kept[c] = ids
+            else:
+                seen[at] = 1
+        return fresh
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null and empty texts have none."""
         cut, whole, out = [], [], [b""] * len(texts)
         if len(self.kept) > CACHE_WORDS:
             self.kept.clear()
-        kept, often = self.kept, self.often
-        new: set[str] = set()
+            self.marks.clear()
+        known, new = self.kept.get, set()
         for i, t in enumerate(texts):
             if not t:
                 continue
-            parts = t.replace("\n", " \n").split(" ")
-            head = parts.pop(0)
-            ids = list(map(often.get, parts))
-            rest = [p for p, x in zip(parts, ids, strict=True) if x is None]
-            unknown = [p for p in rest if p not in kept]
             # a cut that is empty or ends in white space would share its pre-token with the next
-            if head[-1:].isspace() or any(not p or p[-1].isspace() or "\0" in p for p in unknown):
+            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[-1].isspace() or any(c in t for c in OTHER_SPACE):
                 whole.append(i)
+                continue
+            parts = t.replace("\n", " \n").split(" ")
+            head = parts.pop(0)
+            ids = list(map(known, parts))
+            if None in ids:
+                new.update([p for p, x in zip(parts, ids, strict=True) if x is None])
+                cut.append((i, head, parts, ids))
             else:
-                new.update(unknown)
-                cut.append((i, head, ids, rest))
-        self._learn(new)
-        for (i, _, ids, rest), first in zip(cut, self._ids([x[1] for x in cut]), strict=True):
-            seldom = map(kept.__getitem__, rest)
-            out[i] = first + b"".join([next(seldom) if x is None else x for x in ids])
-        if not often:
-            # the commonest cuts of the first texts have a small table of their own, which stays in the processor's cache
-            often.update((p, kept[p]) for p, _ in Counter(p for _, _, _, rest in cut for p in rest).most_common(OFTEN))
+                cut.append((i, head, None, ids))
+        fresh = self._learn(new)
+        for (i, _, parts, ids), first in zip(cut, self._ids([x[1] for x in cut]), strict=True):
+            if parts is not None:
+                ids = [fresh[p] if x is None else x for p, x in zip(parts, ids, strict=True)]
+            out[i] = first + b"".join(ids)
         for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
