@@ -99,11 +99,13 @@ TRUTHY = ("1", "true", "yes")
 
 
 def parse_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """P11: '1'/'true'/'yes' (trimmed, any case) -> 1, anything else -> 0;
-    an absent column is added as 0."""
-    new = {}
+    """P11: '1'/'true'/'yes' (trimmed, any case) and numbers equal to 1 -> 1,
+    anything else -> 0; an absent column is added as 0."""
+    new, kinds = {}, dict(df.dtypes)
     for c in cols:
-        if c in df.columns:
+        if kinds.get(c, "").startswith(("int", "bigint", "smallint", "tinyint", "float", "double", "decimal")):
+            new[c] = F.coalesce(F.col(c) == 1, F.lit(False)).cast("int")
+        elif c in df.columns:
             new[c] = F.coalesce(F.lower(F.trim(F.col(c).cast("string"))).isin(*TRUTHY), F.lit(False)).cast("int")
         else:
             new[c] = F.lit(0)

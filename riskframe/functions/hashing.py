@@ -28,18 +28,7 @@ def key_hash(keys, seed) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("bigint")
 
 
-def unit_uniform(keys, seed) -> Column:
-    """Double in [0, 1) from the key hash (52 significant bits kept exactly)."""
-    return (F.shiftright(key_hash(keys, seed), HASH_BITS - 52)).cast("double") / float(1 << 52)
-
-
 def hash_below(keys, seed, fraction: float) -> Column:
     """Boolean: the key's hash falls in the lowest ``fraction`` of the range."""
     cut = int(fraction * HASH_SPAN)
     return key_hash(keys, seed) < F.lit(cut).cast("bigint")
-
-
-def sql_key_hash(key_sql: str, seed) -> str:
-    """DuckDB text of :func:`key_hash` for one key expression (oracles, docs)."""
-    return (f"('0x' || substr(md5(concat_ws(':', CAST({key_sql} AS VARCHAR), '{seed}')), 1, 15))"
-            f"::BIGINT")

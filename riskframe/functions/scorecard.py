@@ -73,10 +73,6 @@ def scorecard(rules: list[dict]) -> Column:
     return total
 
 
-def score_table(df: DataFrame, rules: list[dict], out: str = "score") -> DataFrame:
-    return df.withColumn(out, scorecard(rules))
-
-
 # The clinical risk scorecard, rule by rule in its natural order.
 CLINICAL_RULES = [
     {"kind": "tiers", "col": "age", "tiers": [(50, 3), (40, 2), (30, 1)]},

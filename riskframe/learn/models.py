@@ -21,6 +21,12 @@ from pyspark.sql import types as T
 MAX_TREE_DEPTH = 30  # Spark refuses deeper trees
 
 
+def _depth(max_depth: int | None) -> int:
+    if max_depth is not None and max_depth > MAX_TREE_DEPTH:
+        raise ValueError(f"Spark grows trees to depth {MAX_TREE_DEPTH} at most; {max_depth} was asked for")
+    return MAX_TREE_DEPTH if max_depth is None else max_depth
+
+
 def logistic(C: float = 1.0, penalty: str = "l2", l1_ratio: float = 0.5, n_rows: int = 1,
              max_iter: int = 100, label: str = "label", features: str = "features") -> LogisticRegression:
     """E5: none / l1 / l2 / elasticnet logistic regression."""
@@ -33,8 +39,8 @@ def logistic(C: float = 1.0, penalty: str = "l2", l1_ratio: float = 0.5, n_rows:
 def random_forest(num_trees: int = 100, max_depth: int | None = 10, feature_subset: str = "sqrt",
                   bootstrap: bool = True, min_instances: int = 1, seed: int = 42,
                   label: str = "label", features: str = "features") -> RandomForestClassifier:
-    """Random forest; depth capped at Spark's 30."""
-    depth = MAX_TREE_DEPTH if max_depth is None else min(max_depth, MAX_TREE_DEPTH)
+    """Random forest. Without ``max_depth`` trees grow to Spark's limit; more is an error."""
+    depth = _depth(max_depth)
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees, maxDepth=depth,
                                   featureSubsetStrategy=feature_subset, bootstrap=bootstrap,
                                   minInstancesPerNode=min_instances, seed=seed)
@@ -43,9 +49,9 @@ def random_forest(num_trees: int = 100, max_depth: int | None = 10, feature_subs
 def gradient_boosting(max_iter: int = 100, step: float = 0.1, max_depth: int = 3, subsample: float = 1.0,
                       min_instances: int = 1, seed: int = 42, label: str = "label",
                       features: str = "features") -> GBTClassifier:
-    """Gradient-boosted trees."""
+    """Gradient-boosted trees. A depth beyond Spark's limit is an error."""
     return GBTClassifier(labelCol=label, featuresCol=features, maxIter=max_iter, stepSize=step,
-                         maxDepth=min(max_depth, MAX_TREE_DEPTH), subsamplingRate=subsample,
+                         maxDepth=_depth(max_depth), subsamplingRate=subsample,
                          minInstancesPerNode=min_instances, seed=seed)
 
 
@@ -99,12 +105,13 @@ def fit_margin_classifier(train: DataFrame, n_features: int, label: str = "label
                           key: str | None = None, seed: int = 42, max_iter: int = 100) -> MarginClassifierModel:
     """RFF + LinearSVC, with Platt scaling learned on out-of-fold margins."""
     from riskframe.operators.sampling import kfold
+    from riskframe.session import cut_lineage
     params = dict(features=features, n_features=n_features, n_components=n_components, gamma=gamma, seed=seed)
     z = fourier_features(train, features, "_rff", n_features, n_components, gamma, seed)
     n = train.count()
     svc = LinearSVC(labelCol=label, featuresCol="_rff", regParam=1.0 / (C * max(1, n)), maxIter=max_iter)
     if key is not None and folds > 1:
-        zf = kfold(z, folds, key, seed)
+        zf = cut_lineage(kfold(z, folds, key, seed))
         parts = []
         for f in range(folds):
             m = svc.fit(zf.where(F.col("fold") != f))

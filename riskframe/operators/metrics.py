@@ -12,11 +12,11 @@ positive), ``prediction`` 0/1.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import running_sum
+from riskframe.session import cut_lineage
 
 _DEC = "decimal(38,0)"
 
@@ -75,17 +75,18 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
 def curve_points(df: DataFrame, label: str = "label", score: str = "score",
                  buckets: int | None = None) -> DataFrame:
     """One row per distinct score: ``score, pos, neg, tp, fp`` where tp/fp
-    count rows with score >= this score. Null scores are dropped."""
+    count rows with score >= this score. Null scores are dropped. The table is
+    written to the checkpoint folder, as every measure of a curve reads it."""
     pts = (df.where(F.col(score).isNotNull())
            .groupBy(F.col(score).cast("double").alias("score"))
            .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                 F.sum((1 - F.col(label)).cast("long")).alias("neg"))
            .withColumn("_rf_desc", -F.col("score")))
     # the prefix sum reads its input several times (count, boundaries,
-    # bucket totals, window): keep the distinct-score table, not the scan
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    # bucket totals, window): write the distinct-score table once
+    pts = cut_lineage(pts)
     cum = running_sum(pts, ["_rf_desc"], {"tp": "pos", "fp": "neg"}, buckets=buckets)
-    return cum.drop("_rf_desc")
+    return cut_lineage(cum.drop("_rf_desc"))
 
 
 def class_totals(points: DataFrame) -> tuple[int, int]:
@@ -97,10 +98,13 @@ def class_totals(points: DataFrame) -> tuple[int, int]:
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
               points: DataFrame | None = None) -> DataFrame:
-    """Threshold, fpr, tpr, tp, fp per distinct score (the implicit start
-    point (0, 0) at threshold +inf is not a row)."""
+    """Threshold, fpr, tpr, tp, fp per distinct score, after the start point
+    (0, 0) at threshold infinity."""
     pts = points if points is not None else curve_points(df, label, score)
     p, n = class_totals(pts)
+    start = pts.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("score"), *[F.lit(0).cast("long").alias(c) for c in ("tp", "fp")])
+    pts = pts.select("score", "tp", "fp").unionByName(start)
     return pts.select(
         F.col("score").alias("threshold"),
         (F.col("fp") / F.lit(float(n)) if n else F.lit(None).cast("double")).alias("fpr"),
@@ -110,14 +114,19 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score",
              points: DataFrame | None = None) -> DataFrame:
-    """Threshold, precision, recall per distinct score."""
+    """Threshold, precision, recall per distinct score, and the end point
+    (precision 1, recall 0), which has no threshold."""
     pts = points if points is not None else curve_points(df, label, score)
     p, _ = class_totals(pts)
-    return pts.select(
+    curve = pts.select(
         F.col("score").alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         (F.col("tp") / F.lit(float(p)) if p else F.lit(None).cast("double")).alias("recall"),
         "tp", "fp")
+    end = pts.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
+        *[F.lit(0).cast("long").alias(c) for c in ("tp", "fp")])
+    return curve.unionByName(end)
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",

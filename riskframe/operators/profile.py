@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators.prefix import running_sum
+from riskframe.session import cut_lineage
+
 
 def _unpivot(wide: DataFrame, cols: Sequence[str], fields: dict) -> DataFrame:
     """One row per column from a one-row wide aggregate: ``fields`` maps the
@@ -23,18 +26,42 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
+def _value_counts(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    """(column_name, value, n) of all non-null values, counted per column."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("value")) for c in cols]))
+    long = df.select(cells.alias("c")).select("c.*").where(F.col("value").isNotNull())
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def column_medians(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """A2: median per column (mean of the middle two), one row. ``exact``
-    uses Spark's exact percentile, whose state grows with the column's
-    cardinality; ``exact=False`` uses ``percentile_approx``."""
-    if exact:
-        return df.agg(*[F.median(F.col(c)).cast("double").alias(c) for c in cols])
-    return df.agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).cast("double").alias(c) for c in cols])
+    """A2: median per column (mean of the middle two), one row. ``exact`` counts
+    the values and finds the middle by bucketed running sums, so no task holds
+    a column's distinct values; ``exact=False`` uses ``percentile_approx``."""
+    if not exact:
+        return df.agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).cast("double").alias(c) for c in cols])
+    counts = cut_lineage(_value_counts(df, cols, "double"))
+    upto = running_sum(counts, ["value"], {"upto": "n"}, partition_cols=["column_name"])
+    total = counts.groupBy(F.col("column_name").alias("of")).agg(F.sum("n").alias("total"))  # a row per column
+    x = upto.join(F.broadcast(total), F.col("column_name") == F.col("of"))
+    low = F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("value")))
+    high = F.min(F.when(2 * F.col("upto") >= F.col("total") + 2 - F.col("total") % 2, F.col("value")))
+    mid = x.groupBy("column_name").agg(((low + high) / 2).alias("median"))
+    return mid.agg(*[F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(c) for c in cols])
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A3: most frequent non-null value per column, smallest on ties, one row."""
-    return df.agg(*[F.mode(F.col(c), True).alias(c) for c in cols])
+    """A3: most frequent non-null value per column, smallest on ties, one row.
+    Values are counted per column first; the smallest of the most frequent is then
+    an ordinary aggregate over the counts."""
+    kinds, rows = dict(df.dtypes), None
+    for kind in sorted({kinds[c] for c in cols}):
+        own = [c for c in cols if kinds[c] == kind]
+        counts = _value_counts(df, own, kind)
+        top = counts.groupBy("column_name").agg(F.min(F.struct((-F.col("n")).alias("less"), "value")).alias("top"))
+        part = top.agg(*[F.max(F.when(F.col("column_name") == c, F.col("top.value"))).alias(c) for c in own])
+        part = part.select(*[F.col(c) if c in own else F.lit(None).cast(kinds[c]).alias(c) for c in cols])
+        rows = part if rows is None else rows.unionAll(part)
+    return rows.agg(*[F.max(c).alias(c) for c in cols])  # a row per type
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

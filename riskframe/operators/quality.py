@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from riskframe.operators.prefix import sequential_id
 from riskframe.operators.profile import column_medians, column_modes
 from riskframe.operators.relational import with_constants
 from riskframe.operators.sampling import duplicate_rows, mark_smallest, resize_to, stratified_split
+from riskframe.session import cut_lineage
 
 # Damage plan (fractions and seeds), repair ranges and casts.
 NULL_COLUMNS = ("wbc_count", "hemoglobin_level", "platelet_count")
@@ -48,11 +48,11 @@ def inject_anomalies(df: DataFrame, key: str = "patient_id", copy_col: str = "co
     0.5% age=150, 0.5% tumor size=40, 0.5% rows deleted. After the copy step
     rows are keyed by (key, copy_no)."""
     # each exact sample reads its input twice (threshold, then predicate):
-    # keep the input and the grown table rather than recompute them
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # the input and the grown table are written rather than made again
+    df = cut_lineage(df)
     x = _mark(df, [key], NULL_SEED, NULL_FRACTION, "_rf_m")
     x = set_where(x, F.col("_rf_m"), {c: None for c in NULL_COLUMNS if c in df.columns}).drop("_rf_m")
-    x = duplicate_rows(x, DUP_FRACTION, key, DUP_SEED, copy_col=copy_col).persist(StorageLevel.MEMORY_AND_DISK)
+    x = cut_lineage(duplicate_rows(x, DUP_FRACTION, key, DUP_SEED, copy_col=copy_col))
     keys = [key, copy_col]
     x = _mark(x, keys, AGE_OUTLIER_SEED, AGE_OUTLIER_FRACTION, "_rf_m")
     x = set_where(x, F.col("_rf_m"), {"age": AGE_OUTLIER_VALUE}).drop("_rf_m")
@@ -64,9 +64,15 @@ def inject_anomalies(df: DataFrame, key: str = "patient_id", copy_col: str = "co
 
 def impute(df: DataFrame, exclude: Sequence[str] = (), exact_median: bool = True) -> DataFrame:
     """Fill numeric nulls with column medians, then the rest with column modes
-    (smallest on ties). Both are one-row aggregates applied as literals."""
-    num = [c for c in columns_by_type(df, "numeric") if c not in exclude]
-    other = [c for c in df.columns if c not in num and c not in exclude]
+    (smallest on ties). Only columns that have nulls are looked at; both fills are
+    one-row aggregates applied as literals."""
+    all_num = columns_by_type(df, "numeric")
+    cols = [c for c in df.columns if c not in exclude]
+    if not cols:
+        return df
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    num = [c for c in cols if c in all_num and nulls[c]]
+    other = [c for c in cols if c not in all_num and nulls[c]]
     out = with_constants(df, column_medians(df, num, exact=exact_median)) if num else df
     if other:
         out = with_constants(out, column_modes(df, other))
@@ -83,7 +89,7 @@ def clean_table(df: DataFrame, key: str = "patient_id", copy_col: str = "copy_no
     x = impute(df, exclude=[key, *helpers], exact_median=exact_median)
     data_cols = [c for c in x.columns if c not in helpers]
     x = x.dropDuplicates(data_cols).select(*data_cols)
-    x = filter_ranges(x, CLEAN_RANGES).persist(StorageLevel.MEMORY_AND_DISK)  # read by several passes below
+    x = cut_lineage(filter_ranges(x, CLEAN_RANGES))  # read by several passes below
     x = x.withColumn("source_key", F.col(key))
     if target_rows is not None:
         x = resize_to(x.drop("source_key"), target_rows, key, seed)

@@ -15,6 +15,8 @@ from riskframe.functions.features import format_metric
 from riskframe.functions.columns import report_projection, resolve_id_column
 from riskframe.operators import metrics as M
 from riskframe.operators.ranking import sort_report
+from riskframe.operators.relational import threshold_set
+from riskframe.session import cut_lineage
 
 # The metric names and formula texts of the summary table.
 METRIC_ROWS = (
@@ -53,10 +55,11 @@ def threshold_table(scored: DataFrame, points: DataFrame | None = None,
                     fixed: Sequence[float] = FIXED_THRESHOLDS) -> DataFrame:
     """Metrics at the fixed thresholds plus the best-Youden and best-F1
     thresholds (sorted, distinct: U3), formatted as text."""
-    pts = points if points is not None else M.curve_points(scored).cache()
+    pts = points if points is not None else M.curve_points(scored)
     yj = M.best_youden(scored, points=pts).first()["threshold"]
     bf = M.best_f1(scored, points=pts).first()["threshold"]
-    ts = [t for t in [*fixed, yj, bf] if t is not None]
+    found = [F.lit(t) for t in (yj, bf) if t is not None]
+    ts = scored.sparkSession.range(1).select(threshold_set(fixed, *found)).first()[0]
     sw = M.threshold_sweep(scored, ts)
     return sw.select(
         format_metric("threshold", 3).alias("Threshold"),
@@ -67,9 +70,9 @@ def threshold_table(scored: DataFrame, points: DataFrame | None = None,
 
 
 def analyze_model(scored: DataFrame, bins: int = 20) -> dict:
-    """Every analysis table over one cached scored frame."""
-    sc = scored.cache()
-    pts = M.curve_points(sc).cache()
+    """Every analysis table over one scored frame, written once."""
+    sc = cut_lineage(scored)
+    pts = M.curve_points(sc)
     return {
         "confusion": M.confusion_matrix(sc),
         "confusion_normalized": M.confusion_normalized(sc),
@@ -90,7 +93,8 @@ def prediction_report(df: DataFrame, model, label: str, id_column: str = "patien
                       order_cols: Sequence[str] | None = None, start: int = 1000) -> DataFrame:
     """Sorted per-row report (Patient_No, Actual, Predicted, Probability,
     Correct). The id column is the requested one, else the first candidate
-    present, else sequential ids; every key column is kept out of the inputs."""
+    present, else sequential ids. The model reads the columns it was fitted on, so a
+    key is an input only if it was one then."""
     from pyspark.ml.functions import vector_to_array
     base, id_col = resolve_id_column(df, id_column, candidates, order_cols or df.columns, start)
     pred = model.transform(base).withColumn("_rf_p", vector_to_array("probability")[1])

@@ -35,25 +35,12 @@ NUMERIC = ["age", "height_cm", "weight_kg", "family_history_cancer", "diabetes",
 CATS = CATEGORICAL + ["age_category"]
 
 
-_FRAMES: dict = {}
-
-
-def _reuse(spark, d, name, build):
-    """Training frames are checkpointed once per session and table folder and
-    kept in memory (MEMORY_AND_DISK): every fit rescans them."""
-    k = (id(spark), spark.sparkContext.applicationId, d, name)
-    if k not in _FRAMES:
-        from pyspark import StorageLevel
-        _FRAMES[k] = cut_lineage(build()).persist(StorageLevel.MEMORY_AND_DISK)
-    return _FRAMES[k]
-
-
 def patient_split(spark, d):
     """Engineered records with label and a stratified split."""
     def build():
         p = engineer_features(patients_from(tb(spark, d, "orders"), "o_orderkey"))
         return prepare_split(p.withColumnRenamed("cancer", "label"), label="label")
-    return _reuse(spark, d, "patients", build)
+    return cut_lineage(build())
 
 
 def _train_test(df):
@@ -65,7 +52,7 @@ def embeddings_frame(spark, d):
         e = tb(spark, d, "embeddings")
         return e.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
                         (F.col("label") >= 5).cast("int").alias("label"))
-    return _reuse(spark, d, "embeddings", build)
+    return cut_lineage(build())
 
 
 def documents_frame(spark, d):
@@ -74,7 +61,7 @@ def documents_frame(spark, d):
             "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
             F.size(F.split("text", r"\s+")).cast("double").alias("n_words"))
         return docs.join(tb(spark, d, "labels"), "doc_id").withColumnRenamed("quality", "label")
-    return _reuse(spark, d, "documents", build)
+    return cut_lineage(build())
 
 
 def _metrics_df(spark, rows):
@@ -103,7 +90,7 @@ def q_evaluate_models_patients(spark, d):
 @query("kfold_logistic_patients")
 def q_kfold_logistic_patients(spark, d):
     """E11 + A20: five folds, all measures from one fit per fold."""
-    df = kfold(patient_split(spark, d), 5, "patient_id", 7)
+    df = cut_lineage(kfold(patient_split(spark, d), 5, "patient_id", 7))
     n = df.count()
     folds = EV.evaluate_kfold("Logistic Regression", PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=n, max_iter=30)),
                               df, "fold", 5)
@@ -222,7 +209,7 @@ def q_mlp_embeddings(spark, d):
 @query("validation_curve_documents")
 def q_validation_curve_documents(spark, d):
     """E21 + F14: train/CV accuracy over C = 10^-3 .. 10^3 (10 values)."""
-    docs = stratified_kfold(documents_frame(spark, d), "label", 3, "doc_id", 42)
+    docs = cut_lineage(stratified_kfold(documents_frame(spark, d), "label", 5, "doc_id", 42))
     n = docs.count()
     values = spark.range(1).select(FX.logspace(-3, 3, 10).alias("v")).first()["v"]
 
@@ -250,7 +237,7 @@ def q_permutation_importance_documents(spark, d):
     docs = stratified_split(documents_frame(spark, d), "label", 0.2, "doc_id", 42)
     tr, te = _train_test(docs)
     model = PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.random_forest(20, 5)).fit(tr)
-    return IM.permutation_importance(model, te, ["n_chars", "n_words", "lang", "source"], "doc_id", repeats=3)
+    return IM.permutation_importance(model, te, ["n_chars", "n_words", "lang", "source"], "doc_id", repeats=10)
 
 
 @query("analyze_model_patients")

@@ -21,6 +21,7 @@ from riskframe.operators import metrics as M
 from riskframe.operators import profile as PR
 from riskframe.operators import ranking as RK
 from riskframe.operators import relational as RL
+from riskframe.operators import report as RP
 from riskframe.operators import sampling as SA
 from riskframe.operators.prefix import sequential_id
 from riskframe.plans.oracle import mark_sql, patients_sql, sql_hash
@@ -179,10 +180,19 @@ def q_explode_batch_embeddings(spark, d):
     return e.select("vec_id", "record_no", F.col("value").cast("double").alias("value"))
 
 
+@query("read_table_pushdown_lineitem", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 40""")
+def q_read_table_pushdown_lineitem(spark, d):
+    """The condition reaches the Parquet scan although NaN is mapped to null."""
+    li = IO.read_table(spark, f"{d}/lineitem.parquet", where="l_quantity > 40")
+    return li.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query("model_catalog_scores", f"""
 {SL},
 m AS (SELECT 'l_discount' AS name, round(avg(CAST((score >= 0.05) = (label = 1) AS INTEGER)), 9) AS accuracy FROM sl)
-SELECT name, name AS type, accuracy, 0.0::DOUBLE AS roc_auc, 0.0::DOUBLE AS f1_score FROM m""")
+SELECT name, name AS type, accuracy, 0.0::DOUBLE AS roc_auc, 0.0::DOUBLE AS f1_score,
+  '{{"threshold":"0.05"}}' AS parameters FROM m""")
 def q_model_catalog_scores(spark, d):
     """Run metadata computed from data, written as JSON, read back
     with the declared schema and listed one row per model (absent metrics 0)."""
@@ -195,7 +205,10 @@ def q_model_catalog_scores(spark, d):
             "performance": {"l_discount": {"accuracy": acc, "roc_auc": None, "f1_score": None}}}
     path = scratch_path(spark, "run_meta")
     IO.write_run_metadata(spark, meta, path)
-    return model_catalog(IO.read_run_metadata(spark, path)).drop("parameters")
+    params = scored_lines(spark, d).limit(1).select(
+        F.lit("l_discount").alias("name"), F.create_map(F.lit("threshold"), F.lit("0.05")).alias("parameters"))
+    listed = model_catalog(IO.read_run_metadata(spark, path), params)
+    return listed.withColumn("parameters", F.to_json("parameters"))
 
 
 # ------------------------------------------------------------------ projections / predicates
@@ -548,7 +561,7 @@ SELECT round(roc_auc, 9) AS roc_auc, round(average_precision, 9) AS average_prec
 
 
 def _curve_summary(df):
-    pts = M.curve_points(df).cache()
+    pts = M.curve_points(df)
     auc = M.roc_auc(df, points=pts).first()["roc_auc"]
     ap = M.average_precision(df, points=pts).first()["average_precision"]
     yj = M.best_youden(df, points=pts).first()["threshold"]
@@ -590,7 +603,8 @@ def q_average_precision_events(spark, d):
 @query("roc_curve_events", f"""{SE},
 {CURVE_SQL.format(src='se')}
 SELECT score AS threshold, round(fp / CAST(n AS DOUBLE), 9) AS fpr, round(tp / CAST(p AS DOUBLE), 9) AS tpr,
-  tp, fp, round(tp / CAST(p AS DOUBLE) - fp / CAST(n AS DOUBLE), 9) AS j FROM cum, tot""")
+  tp, fp, round(tp / CAST(p AS DOUBLE) - fp / CAST(n AS DOUBLE), 9) AS j FROM cum, tot
+UNION ALL SELECT 'infinity'::DOUBLE, 0, 0, 0, 0, 0""")
 def q_roc_curve_events(spark, d):
     c = M.youden(M.roc_curve(scored_events(spark, d)))
     return c.select("threshold", R9(F.col("fpr")).alias("fpr"), R9(F.col("tpr")).alias("tpr"), "tp", "fp",
@@ -600,7 +614,8 @@ def q_roc_curve_events(spark, d):
 @query("pr_curve_lineitem", f"""{SL},
 {CURVE_SQL.format(src='sl')}
 SELECT score AS threshold, round(tp / (tp + fp), 9) AS precision, round(tp / CAST(p AS DOUBLE), 9) AS recall,
-  tp, fp FROM cum, tot""")
+  tp, fp FROM cum, tot
+UNION ALL SELECT NULL, 1, 0, 0, 0""")
 def q_pr_curve_lineitem(spark, d):
     c = M.pr_curve(scored_lines(spark, d))
     return c.select("threshold", R9(F.col("precision")).alias("precision"), R9(F.col("recall")).alias("recall"),
@@ -751,20 +766,6 @@ def q_sequential_id_orders(spark, d):
     return sequential_id(o, ["o_orderdate", "o_orderkey"], out="row_id", start=1000, buckets=8)
 
 
-def _threshold_table(df):
-    pts = M.curve_points(df).cache()
-    yj = M.best_youden(df, points=pts).first()["threshold"]
-    bf = M.best_f1(df, points=pts).first()["threshold"]
-    ts = [0.3, 0.4, 0.5, 0.6, 0.7, yj, bf]
-    sw = M.threshold_sweep(df, ts)
-    return sw.select(
-        FX.format_metric("threshold", 3).alias("Threshold"),
-        FX.format_metric("accuracy", 4).alias("Accuracy"), FX.format_metric("precision", 4).alias("Precision"),
-        FX.format_metric("recall", 4).alias("Recall"), FX.format_metric("f1", 4).alias("F1_Score"),
-        F.col("positives").alias("Pos_Predictions"),
-        FX.format_metric("positive_share", 1, pct=True).alias("Pct_Pos_Pred"))
-
-
 def _fmt_sql(x, d, pct=False):
     # DuckDB's printf rounds the exact binary value, ties to even, like Python
     if pct:
@@ -795,12 +796,12 @@ SELECT {_fmt_sql('t', 3)} AS Threshold,
 
 @query("threshold_table_events", _threshold_table_sql(SE, "se"))
 def q_threshold_table_events(spark, d):
-    return _threshold_table(scored_events(spark, d))
+    return RP.threshold_table(scored_events(spark, d))
 
 
 @query("threshold_table_lineitem", _threshold_table_sql(SL, "sl"))
 def q_threshold_table_lineitem(spark, d):
-    return _threshold_table(scored_lines(spark, d))
+    return RP.threshold_table(scored_lines(spark, d))
 
 
 @query("top_features_part", """
@@ -813,11 +814,11 @@ def q_top_features_part(spark, d):
 # ------------------------------------------------------------------ set operations
 @query("append_orders", """
 SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS o_orderpriority FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'O'""")
+UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""")
 def q_append_orders(spark, d):
     o = tb(spark, d, "orders")
     a = o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderstatus")
-    b = o.where(F.col("o_orderstatus") == "O").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    b = o.where(~F.col("o_orderstatus").eqNullSafe(F.lit("F"))).select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return RL.append(a, b)
 
 

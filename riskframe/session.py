@@ -37,8 +37,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder. Only when the session has
-    none (local tests) is a fresh folder under the system temp dir set."""
+    """Return the cluster's shared checkpoint folder. A session without one gets a
+    fresh temporary folder if all of it runs on this machine (tests, bench);
+    on a cluster, where executors could not see it, that is an error."""
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
     if path:
@@ -47,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -22,8 +22,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               fmt: str = "parquet", null_value: str = "", **options) -> DataFrame | None:
-    """Scan a table; a missing path gives ``None`` (and a message)."""
+               fmt: str = "parquet", null_value: str = "", where: str | None = None,
+               **options) -> DataFrame | None:
+    """Scan a table; a missing path gives ``None`` (and a message). NaN becomes null.
+
+    A condition in ``where`` is put on the columns as stored, so that it reaches the
+    scan, and again on the cleaned ones, where NaN no longer satisfies it."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -40,13 +44,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
             print(f"read_table: '{path}' not found")
             return None
         raise
-    return nan_to_null(df)
+    if where is None:
+        return nan_to_null(df)
+    return nan_to_null(df.where(where)).where(where)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, **options) -> str:
-    """S3: persist a stage table, split or report."""
-    w = df.write.mode(mode).format(fmt)
+    """S3: persist a stage table, split or report; NaN is stored as null."""
+    w = nan_to_null(df).write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:
@@ -100,14 +106,15 @@ def save_models(models: dict, directory: str, best: str | None = None) -> dict:
 
 
 def load_model(directory: str, names: Sequence[str] = ("best_model",)):
-    """The first of ``names`` that loads; ``None`` if none does."""
+    """The first of ``names`` that is there; ``None`` if none is. A model that
+    is there but cannot be read is an error."""
     from pyspark.ml import PipelineModel
+    spark = SparkSession.active()
     for n in names:
         p = os.path.join(directory, n if n == "best_model" else f"model_{model_slug(n)}")
-        try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
             return PipelineModel.load(p)
-        except Exception:
-            continue
     return None
 
 

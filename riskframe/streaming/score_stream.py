@@ -25,10 +25,15 @@ from riskframe.operators.quality import engineer_features
 
 def score_stream(spark: SparkSession, source: str, schema: T.StructType, model, out_dir: str,
                  fmt: str = "parquet", id_col: str = "patient_id", required=(), allowed=None, ranges=None,
-                 available_now: bool = True, checkpoint: str | None = None):
+                 available_now: bool = True, checkpoint: str | None = None,
+                 max_files: int = 1000, interval: str = "10 seconds"):
     """Start (and, with ``available_now``, finish) the scoring stream.
-    Writes ``scored/``, ``rejected/`` and ``summary/`` under ``out_dir``."""
-    stream = spark.readStream.schema(schema).format(fmt).load(source)
+    Writes ``scored/``, ``rejected/`` and ``summary/`` under ``out_dir``.
+
+    A batch takes at most ``max_files`` new files, so a backlog comes in several;
+    without ``available_now`` a batch starts every ``interval``. The model runs once
+    per batch: the summary is made from the rows just written."""
+    stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source)
     checked = validate_records(stream, required, allowed, ranges)
 
     def per_batch(batch: DataFrame, epoch: int):
@@ -42,14 +47,15 @@ def score_stream(spark: SparkSession, source: str, schema: T.StructType, model,
         # one directory per batch, overwritten: a batch replayed after a
         # failure replaces its own output instead of appending it twice
         part = f"batch_id={epoch}"
-        scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scored", part))
+        to = os.path.join(out_dir, "scored", part)
+        scored.write.mode("overwrite").parquet(to)
         bad.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", part))
-        batch_summary(scored).write.mode("overwrite").parquet(os.path.join(out_dir, "summary", part))
+        batch_summary(spark.read.schema(scored.schema).parquet(to)).write.mode("overwrite").parquet(os.path.join(out_dir, "summary", part))
         batch.unpersist()
 
     writer = (checked.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint or os.path.join(out_dir, "_checkpoint")))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     q = writer.start()
     if available_now:
         q.awaitTermination()

@@ -69,3 +69,21 @@ def test_sample_grid():
     grid = {"a": list(range(10)), "b": list(range(20))}
     assert len(SA.sample_grid(grid, 50, 1)) == 50
     assert len(SA.sample_grid({"a": [1, 2]}, 50, 1)) == 2
+
+
+def test_many_strata_null_strata_and_repeated_keys(spark):
+    df = spark.range(6000).select((F.col("id") % 1500).alias("g"), "id")
+    df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    got = SA.stratified_split(df, "g", 0.25, "id", 3)
+    n = {r["g"]: r["n"] for r in got.where("split = 'test'").groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert got.count() == 6000 and set(n.values()) == {1} and len(n) == 1500 and None in n
+    same = spark.range(1000).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    assert SA.sample_fraction(same, 0.1, "k", 5, exact=True).count() == 100
+    assert SA.sample_n(same, 33, "k", 5).count() == 33
+
+
+def test_stratified_kfold_keeps_null_labels(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 >= 3, F.col("id") % 2).alias("y"), "id")
+    got = SA.stratified_kfold(df, "y", 5, "id", 1)
+    assert got.count() == 1000
+    assert {r["n"] for r in got.groupBy("y", "fold").agg(F.count("*").alias("n")).collect()} == {60, 80}

@@ -77,3 +77,19 @@ def test_save_and_load_models(spark, tmp_path):
     assert os.path.isdir(paths["best_model"]) and paths["Logistic Regression"].endswith("model_logistic_regression")
     assert IO.load_model(str(tmp_path), ["Gradient Boosting", "Logistic Regression"]) is not None
     assert IO.load_model(str(tmp_path), ["Nothing"]) is None
+
+
+def test_condition_reaches_the_scan_and_nan_does_not_satisfy_it(spark, tmp_path):
+    p = str(tmp_path / "n.parquet")
+    spark.createDataFrame([(50.0,), (float("nan"),), (3.0,), (None,)], "v double").write.parquet(p)
+    df = IO.read_table(spark, p, where="v > 40")
+    assert [r["v"] for r in df.collect()] == [50.0]
+    assert "GreaterThan(v,40.0)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_broken_model_is_an_error_and_a_missing_one_is_none(spark, tmp_path):
+    import pytest
+    assert IO.load_model(str(tmp_path), ["a", "best_model"]) is None
+    (tmp_path / "best_model").mkdir()
+    with pytest.raises(Exception):
+        IO.load_model(str(tmp_path), ["a", "best_model"])
