@@ -31,6 +31,8 @@ FOLDS, FOLD = 3, 1
 THRESHOLD = 0.7
 EDGES = ".,;:!?\"'()[]{}<>|*_-"
 BATCH = 2048
+#: Words whose inputs are worked out at one time.
+PART = 20_000
 
 
 def normal(word: str) -> str:
@@ -163,6 +165,33 @@ def windows(n: np.ndarray, window: int = WINDOW, stride: int = STRIDE) -> tuple[
     return doc, begin[doc] + k * stride, np.minimum(window, n[doc] - k * stride)
 
 
+def numbered(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different words of all texts, normalised, each word's number, and each text's word count."""
+    raw: dict[str, int] = {}
+    names: dict[str, int] = {}
+    place, n = [], []
+    for t in texts:
+        words = t.split()
+        for w in words:
+            if w not in raw:
+                raw[w] = names.setdefault(normal(w), len(names))
+        place.append(np.fromiter(map(raw.__getitem__, words), np.int32, len(words)))
+        n.append(len(words))
+    return list(names), np.concatenate(place), np.array(n, np.int64)
+
+
+def word_inputs(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word, the bucket of its form, and the buckets of its n-grams from ``first[i]`` to ``first[i + 1]``."""
+    whole, ids, count = [], [], []
+    for i in range(0, len(names), PART):
+        part = names[i : i + PART]
+        whole.append(subword_ids(part, WORD_BUCKETS, ())[0].astype(np.int32))
+        flat, owner = subword_ids(part, CHAR_BUCKETS, SIZES, whole=False)
+        ids.append(flat.astype(np.int32))
+        count.append(np.bincount(owner, minlength=len(part)))
+    return np.concatenate(whole), np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(count)))
+
+
 def train(rows: list[tuple[int, str]], total: dict[int, int], seed: int = 5, epochs: tuple[int, ...] = (6, 4)) -> Toxic:
     """Fits the network and, on a quarter of the texts it hasn't seen, the line to log odds."""
     n1, n0 = total.get(1, 0), total.get(0, 0)
@@ -173,31 +202,27 @@ def train(rows: list[tuple[int, str]], total: dict[int, int], seed: int = 5, epo
     rng = np.random.default_rng(seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
     y = np.array([v for v, _ in rows])
-    words, n = words_of([t for _, t in rows])
-    words = [normal(x) for x in words]
-    names, place = np.unique(np.array(words, dtype=object), return_inverse=True)
-    names = list(names)
+    names, place, n = numbered([t for _, t in rows])
     doc, start, size = windows(n)
     fit = np.arange(len(rows)) % 4 != 0
     if len(set(y[fit])) < 2 or len(set(y[~fit])) < 2:
         fit[:] = True
 
     # how much each word tells the classes apart, by the fitted documents that hold it
-    pairs = np.unique(np.stack([place, np.repeat(np.arange(len(n)), n)]), axis=1)
-    pairs = pairs[:, fit[pairs[1]]]
-    df = [np.bincount(pairs[0, y[pairs[1]] == v], minlength=len(names)) for v in (0, 1)]
+    df = np.zeros((2, len(names)))
+    at = np.cumsum(n) - n
+    for i in np.flatnonzero(fit):
+        df[y[i], np.unique(place[at[i] : at[i] + n[i]])] += 1
     odds = np.log((df[1] + 0.5) / ((y[fit] == 1).sum() + 1)) - np.log((df[0] + 0.5) / ((y[fit] == 0).sum() + 1))
     rank = np.maximum.reduceat(np.append(odds[place], -99), np.stack([start, start + size], axis=1).ravel())[::2]
 
     model = fresh(seed)
     w = model.w
-    whole, _ = subword_ids(names, WORD_BUCKETS, ())
-    ids, owner = subword_ids(names, CHAR_BUCKETS, SIZES, whole=False)
-    first = np.searchsorted(owner, np.arange(len(names) + 1))
+    whole, ids, first = word_inputs(names)
     step, m1, m2 = 0, {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
     for phase, rounds in enumerate(epochs):
         if phase:
-            table = np.concatenate([model.gates_in(names[i : i + 50_000]) for i in range(0, len(names), 50_000)])
+            table = np.concatenate([model.gates_in(names[i : i + PART]) for i in range(0, len(names), PART)])
             rank = model.window_logits(table, place, start, size)
         order = np.lexsort((-rank, doc))
         top = np.flatnonzero(np.concatenate(([True], doc[order][1:] != doc[order][:-1])))
@@ -206,7 +231,7 @@ def train(rows: list[tuple[int, str]], total: dict[int, int], seed: int = 5, epo
             any_ = rng.permutation(len(doc))[: len(top)]
             chosen = np.unique(np.concatenate([lead, any_[y[doc[any_]] == 0]]))
             chosen = chosen[fit[doc[chosen]]]
-            for part in np.array_split(rng.permutation(chosen), max(1, len(chosen) // 128)):
+            for part in np.array_split(rng.permutation(chosen), max(1, len(chosen) // 128, min(len(chosen) // 8, 24))):
                 part = part[np.argsort(-size[part], kind="stable")]
                 spots = np.concatenate([np.arange(s, s + k) for s, k in zip(start[part], size[part], strict=True)])
                 used, inv = np.unique(place[spots], return_inverse=True)
@@ -225,7 +250,7 @@ def train(rows: list[tuple[int, str]], total: dict[int, int], seed: int = 5, epo
                     m1[k] += 0.1 * (x - m1[k])
                     m2[k] += 0.001 * (x * x - m2[k])
                     w[k] -= rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + 1e-8)
-    table = np.concatenate([model.gates_in(names[i : i + 50_000]) for i in range(0, len(names), 50_000)])
+    table = np.concatenate([model.gates_in(names[i : i + PART]) for i in range(0, len(names), PART)])
     logit = np.full(len(rows), -np.inf)
     np.maximum.at(logit, doc, model.window_logits(table, place, start, size))
     some = ~fit if (~fit).any() else fit
