@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
@@ -147,7 +148,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     dealt = kept.select("_place", F.col(length_col).cast("long").alias("_size"),
                         F.pmod(F.xxhash64("_place"), F.lit(shards)).alias("_shard"))
 
-    def run(key, x: pd.DataFrame) -> pd.DataFrame:
+    def run(key: Any, x: pd.DataFrame) -> pd.DataFrame:
         x = x.sort_values("_place")
         size = x["_size"].tolist()
         if max(size) > capacity:
