@@ -5,7 +5,8 @@ from __future__ import annotations
 
 def _load():
     from riskframe.plans import registry  # noqa: F401  (registers on import)
-    for mod in ("riskframe.plans.composites", "riskframe.plans.learning", "riskframe.plans.streams"):
+    for mod in ("riskframe.plans.composites", "riskframe.plans.learning", "riskframe.plans.streams",
+                "riskframe.plans.checks"):
         try:
             __import__(mod)
         except ModuleNotFoundError as e:
