@@ -231,11 +231,12 @@ def repeated_spans(docs: DataFrame, parts: int, window: int, gram: int) -> DataF
             least = np.full(len(number), np.iinfo(np.int64).max)
             np.minimum.at(least, which, doc)
             words: dict[bytes, int] = {}
-            split = [x.split(b" ") for x in number]
-            size = np.fromiter(map(len, split), np.int64, len(split))
-            flat = np.fromiter((words.setdefault(w, len(words) + 1) for x in split for w in x), np.int64, int(size.sum()))
-            del split, number
-            index = FMIndex(flat, size, least, len(words), window)
+            size = np.fromiter((x.count(b" ") + 1 for x in number), np.int64, len(number))
+            flat = np.fromiter((words.setdefault(w, len(words) + 1) for x in number for w in x.split(b" ")), np.int64, int(size.sum()))
+            number.clear()
+            top = len(words)
+            words.clear()
+            index = FMIndex(flat, size, least, top, window)
             first = index.windows(flat, size, np.iinfo(np.int64).max)  # the least document with each window
             begin = np.cumsum(size) - size
             # windows of every occurrence, one after the other
