@@ -192,7 +192,7 @@ def category_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_ON
     counts = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
     for c in cols:
         if counts[c] > max_levels:
-            raise ValueError(f"{c} has {counts[c]} levels, above the one-hot cap {max_levels}")
+            raise ValueError(f"{c} has {counts[c]} levels; above {max_levels} use one_hot_vector, which makes one sparse column")
     row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
     return {c: list(row[c]) for c in cols}
 
@@ -210,6 +210,15 @@ def one_hot(df: DataFrame, cols: Sequence[str], levels: dict | None = None,
     return out if keep_source else out.drop(*cols)
 
 
+def one_hot_vector(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """F16 for any number of levels: a sparse 0/1 vector ``col_oh`` per column in place of
+    a column per level; levels in alphabetical order, none dropped, null and unknown all 0."""
+    from riskframe.learn.prep import pipeline
+    model = pipeline([], list(cols)).fit(df)
+    out = model.transform(df)
+    return out.withColumnsRenamed({f"{c}__oh": f"{c}_oh" for c in cols}).drop("features", *[f"{c}__idx" for c in cols])
+
+
 def standardize(df: DataFrame, cols: Sequence[str], stats: dict | None = None) -> DataFrame:
     """(x - mean) / population std; a constant column gives 0. ``stats``
     ({col: (mean, std)}) lets a fit on one frame be applied to another."""

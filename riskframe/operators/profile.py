@@ -97,6 +97,16 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(rows).select("r.*")
 
 
+def correlation_wide(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
+    """A9 for many columns: Pearson correlation of every pair of a vector column's
+    entries, long form, by one distributed pass over the rows. Vectors must be free of
+    nulls and NaN; the p x p result is made on the driver."""
+    from pyspark.ml.stat import Correlation
+    m = Correlation.corr(df, features).first()[0].toArray()
+    rows = [(a, b, float(m[i, j + i + 1])) for i, a in enumerate(names) for j, b in enumerate(names[i + 1:])]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+
+
 def stage_audit(stage: str, df: DataFrame, null_cols: Sequence[str] = (),
                 range_cols: dict | None = None) -> DataFrame:
     """One audit row for one stage: rows, null cells, duplicate rows and

@@ -236,9 +236,16 @@ def kfold(df: DataFrame, k: int, key, seed, out: str = "fold") -> DataFrame:
             .withColumn(out, F.pmod(F.col("_rf_i"), F.lit(k)).cast("int")).drop("_rf_h", "_rf_i"))
 
 
-def stratified_kfold(df: DataFrame, label: str, k: int, key, seed, out: str = "fold") -> DataFrame:
-    """Shuffled and stratified: rank within class in hash order, mod k."""
+def stratified_kfold(df: DataFrame, label: str, k: int, key, seed, out: str = "fold", shuffle: bool = True) -> DataFrame:
+    """Stratified folds: rank within class in hash order, mod k. Without ``shuffle``
+    each class is cut into k runs of rows in key order."""
     keys = _keys(key)
+    if not shuffle:
+        sizes = df.groupBy(F.col(label).alias("_rf_class")).agg(F.count(F.lit(1)).alias("_rf_size"))
+        ranked = sequential_id(df, keys, out="_rf_i", partition_cols=[label])
+        ranked = ranked.join(sizes, ranked[label].eqNullSafe(sizes["_rf_class"]))
+        fold = F.floor(F.col("_rf_i") * F.lit(k) / F.col("_rf_size")).cast("int")
+        return ranked.withColumn(out, fold).drop("_rf_i", "_rf_class", "_rf_size")
     x = df.withColumn("_rf_h", key_hash(keys, seed))
     return (sequential_id(x, ["_rf_h", *keys], out="_rf_i", partition_cols=[label])
             .withColumn(out, F.pmod(F.col("_rf_i"), F.lit(k)).cast("int")).drop("_rf_h", "_rf_i"))

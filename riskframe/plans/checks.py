@@ -14,16 +14,19 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions import features as FX
+from riskframe.functions.records import check_records
 from riskframe.learn import evaluate as EV
 from riskframe.learn import importance as IM
 from riskframe.learn import models as MD
 from riskframe.learn import pca as PCA_
 from riskframe.learn import prep as PP
-from riskframe.learn.scoring import score_batch, score_summary
+from riskframe.learn.scoring import score_records
 from riskframe.operators import report as RP
 from riskframe.operators.quality import engineer_features
-from riskframe.operators.sampling import sample_grid
-from riskframe.plans.oracle import patients_sql
+from riskframe.operators import profile as PR
+from riskframe.operators.prefix import sequential_id
+from riskframe.operators.sampling import sample_grid, stratified_kfold, stratified_split
+from riskframe.plans.oracle import mark_sql, patients_sql, sql_hash
 from riskframe.plans.registry import query, tb
 from riskframe.session import cut_lineage, scratch_path
 from riskframe.sources import io as IO
@@ -182,10 +185,10 @@ def q_batch_rows_patients(spark, d):
     a summary that agrees with the rows."""
     df, model = patient_model(spark, d)
     raw = [c for c in patients_from(tb(spark, d, "orders").limit(0), "o_orderkey").columns if c != "cancer"]
-    rows = cut_lineage(score_batch(df.select(*raw), model, "patient_id"))
-    s = score_summary(rows, "forest").first()
+    got = score_records(df.select(*raw), model, "forest", "patient_id")
+    rows, s = got["scored"], got["summary"].first()
     positive = rows.where("prediction = 1").count()
-    agrees = s["positive_cases"] == positive and s["model_used"] == "forest" and s["timestamp"] is not None
+    agrees = got["rejected"].count() == 0 and s["positive_cases"] == positive and s["model_used"] == "forest" and s["timestamp"] is not None
     ok = (F.col("cancer_risk") == FX.risk_tier(F.col("probability"))) & (F.col("prediction") == (F.col("probability") > 0.5).cast("int")) & F.lit(agrees)
     return rows.select(F.col("patient_id").cast("long").alias("patient_id"), F.coalesce(ok, F.lit(False)).alias("consistent"), F.lit(s["total_patients"]).cast("long").alias("total_patients"))
 
@@ -208,3 +211,70 @@ def q_stream_rows_patients(spark, d):
         raise ValueError("the summaries do not add up to the scored rows")
     rows = lambda name: read(name).select(F.col("patient_id").cast("long").alias("patient_id"), F.lit(name).alias("sink"))
     return rows("scored").unionAll(rows("rejected"))
+
+
+@query("record_rules_patients", f"""
+WITH p AS ({patients_sql('orders', 'o_orderkey')})
+SELECT CAST(patient_id AS BIGINT) AS patient_id, concat_ws('; ',
+  CASE WHEN patient_id % 13 = 0 THEN 'weight_kg: missing' END, CASE WHEN patient_id % 11 = 0 THEN 'gender: not allowed' END,
+  CASE WHEN patient_id % 17 = 0 THEN 'asthma: not allowed' END, CASE WHEN patient_id % 7 = 0 THEN 'age: out of range' END) AS reasons FROM p""")
+def q_record_rules_patients(spark, d):
+    """The record rule set on records with planted faults."""
+    p = patients_from(tb(spark, d, "orders"), "o_orderkey")
+    every = lambda k, c, v: F.when(F.col("patient_id") % k == 0, F.lit(v)).otherwise(F.col(c))
+    p = p.withColumns({"weight_kg": every(13, "weight_kg", None), "gender": every(11, "gender", "X"), "asthma": every(17, "asthma", 2), "age": every(7, "age", 0)})
+    return check_records(p).select(F.col("patient_id").cast("long").alias("patient_id"), F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query("correlation_wide_embeddings", """
+WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings WHERE embedding IS NOT NULL)
+SELECT CAST(a.i AS VARCHAR) AS col_a, CAST(b.i AS VARCHAR) AS col_b, round(corr(a.v, b.v), 6) AS corr
+FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""")
+def q_correlation_wide_embeddings(spark, d):
+    """Every pair of 64 columns."""
+    e = tb(spark, d, "embeddings").where(F.col("embedding").isNotNull()).select(F.col("embedding").cast("array<double>").alias("v"))
+    n = e.select(F.size("v").alias("n")).first()["n"]
+    c = PR.correlation_wide(e.select(array_to_vector("v").alias("x")), "x", [str(i) for i in range(n)])
+    return c.withColumn("corr", F.round("corr", 6))
+
+
+@query("one_hot_vector_lineitem", """
+SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY CAST(l_partkey AS VARCHAR)) - 1 AS INTEGER) AS place FROM lineitem""")
+def q_one_hot_vector_lineitem(spark, d):
+    """F16: thousands of levels as one sparse vector; the 1 is at the level's alphabetical place."""
+    li = tb(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    x = FX.one_hot_vector(li, ["part"])
+    return x.select("l_orderkey", "l_linenumber", (F.array_position(vector_to_array("part_oh"), F.lit(1.0)) - 1).cast("int").alias("place"))
+
+
+@query("stratified_split_many_strata", f"""
+SELECT o_orderkey, o_custkey, CASE WHEN {mark_sql(['o_orderkey'], 21, 0.3, ['o_custkey'])} THEN 'test' ELSE 'train' END AS split FROM orders""")
+def q_stratified_split_many_strata(spark, d):
+    """A stratum for each customer."""
+    return stratified_split(tb(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", 0.3, "o_orderkey", 21)
+
+
+@query("stratified_kfold_null_strata", f"""
+SELECT o_orderkey, s, CAST((row_number() OVER (PARTITION BY s ORDER BY {sql_hash(['o_orderkey'], 23)}, o_orderkey) - 1) % 5 AS INTEGER) AS fold
+FROM (SELECT o_orderkey, nullif(o_orderstatus, 'F') AS s FROM orders)""")
+def q_stratified_kfold_null_strata(spark, d):
+    """Rows whose stratum is null are a stratum of their own."""
+    o = tb(spark, d, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("s"))
+    return stratified_kfold(o, "s", 5, "o_orderkey", 23)
+
+
+@query("stratified_kfold_unshuffled", """
+SELECT o_orderkey, o_orderstatus, CAST(floor((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) * 5
+  / count(*) OVER (PARTITION BY o_orderstatus)) AS INTEGER) AS fold FROM orders""")
+def q_stratified_kfold_unshuffled(spark, d):
+    """Each class in five runs of rows."""
+    return stratified_kfold(tb(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", 5, "o_orderkey", 0, shuffle=False)
+
+
+@query("sequential_id_null_keys", """
+SELECT o_orderkey, v, CAST(row_number() OVER (ORDER BY v NULLS FIRST, o_orderkey) AS BIGINT) AS row_id
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS v FROM orders)""")
+def q_sequential_id_null_keys(spark, d):
+    """Rows with a null order key come first, whatever the buckets."""
+    o = tb(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("v"))
+    return sequential_id(o, ["v", "o_orderkey"], out="row_id", start=1, buckets=7)
