@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import checkpointed, chunks, parts_for
-from riskframe.llm.tokens import default_tokenizer, encoder
+from riskframe.llm.tokens import TEXT_BYTES, default_tokenizer, encoder
 
 CAPACITY = 1024
 #: Pieces that one task packs; each shard can lose at most one partly filled sequence.
@@ -33,7 +33,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         enc = encoder(path)
         for b in batches:
-            for lo, hi in chunks(b, 1):
+            for lo, hi in chunks(b, 1, TEXT_BYTES):
                 rows = []
                 ids = enc.encode(b.column(1).slice(lo, hi - lo).to_pylist())
                 for doc, x in zip(b.column(0).slice(lo, hi - lo).to_pylist(), ids, strict=True):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import chunks
-from riskframe.llm.tokens import default_tokenizer, encoder
+from riskframe.llm.tokens import TEXT_BYTES, default_tokenizer, encoder
 
 #: Lengths a block of the two-level sums spans.
 BLOCK = 4096
@@ -28,7 +28,7 @@ def token_lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None
     def run(batches):
         enc = encoder(path)
         for b in batches:
-            for lo, hi in chunks(b, 0):
+            for lo, hi in chunks(b, 0, TEXT_BYTES):
                 ids = enc.encode(b.column(0).slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array([len(x) // 4 for x in ids], pa.int64())], ["length"])
 

@@ -26,6 +26,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Bytes of text encoded at one time; the more, the more often a cut comes again.
+TEXT_BYTES = 16 << 20
 #: Marks that may close a cut.
 MARKS = ".,;:!?"
 SEEN = 1 << 23
@@ -61,26 +63,30 @@ class Encoder:
         one = self.id_bytes
         return [b"".join([one[i] for i in e.ids]) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
+    def _mark(self, end: str) -> bytes:
+        if end not in self.marks:
+            self.marks[end] = self._ids([end])[0]
+        return self.marks[end]
+
     def _learn(self, cuts: list[str]) -> dict[str, bytes]:
         """The ids of new cuts. Letters after a space are one pre-token: its bytes, in the
         vocabulary's letters, go straight to the model. All other cuts are encoded.
 
         Most words of a corpus come once; only cuts met in an earlier call too are kept."""
-        marks, one, merge, lead = self.marks, self.id_bytes, self.tok.model.tokenize, self.lead
+        one, merge, lead = self.id_bytes, self.tok.model.tokenize, self.lead
         rest, fresh = [], {}
         for c in cuts:
             core = c.rstrip(MARKS)
             if not core.isalpha() or not core.isascii() and max(core) > LATIN:
                 rest.append(c)
                 continue
+            end = c[len(core) :]
+            if end and (ids := self.kept.get(core)):
+                fresh[c] = ids + self._mark(end)
+                continue
             word = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
             ids = b"".join([one[t.id] for t in merge(lead + word)])
-            if len(core) < len(c):
-                end = c[len(core) :]
-                if end not in marks:
-                    marks[end] = self._ids([end])[0]
-                ids += marks[end]
-            fresh[c] = ids
+            fresh[c] = ids + self._mark(end) if end else ids
         # a line's first cut has its line end, all others follow a space
         fresh.update(zip(rest, self._ids([c if c[0] == "\n" else " " + c for c in rest]), strict=True))
         seen, kept = self.seen, self.kept
