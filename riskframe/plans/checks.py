@@ -27,7 +27,8 @@ from riskframe.operators import profile as PR
 from riskframe.operators.prefix import sequential_id
 from riskframe.operators.sampling import sample_grid, stratified_kfold, stratified_split
 from riskframe.plans.oracle import mark_sql, patients_sql, sql_hash
-from riskframe.plans.registry import query, tb
+from riskframe.operators import metrics as M
+from riskframe.plans.registry import CURVE_SQL, ORACLE, R9, SE, query, scored_events, tb
 from riskframe.session import cut_lineage, scratch_path
 from riskframe.sources import io as IO
 from riskframe.sources.generate import patients_from
@@ -278,3 +279,39 @@ def q_sequential_id_null_keys(spark, d):
     """Rows with a null order key come first, whatever the buckets."""
     o = tb(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("v"))
     return sequential_id(o, ["v", "o_orderkey"], out="row_id", start=1, buckets=7)
+
+
+# ------------------------------------------------------------------ E28: each table of the analysis of one scored frame
+def _rounded(df, *cols):
+    return df.withColumns({c: R9(F.col(c)) for c in cols or [n for n, t in df.dtypes if t == "double"]})
+
+
+def _analysis(table, sql, *cols):
+    @query(f"analysis_{table}_events", sql)
+    def run(spark, d):
+        scored = scored_events(spark, d).withColumn("prediction", M.apply_threshold("score", 0.5))
+        return _rounded(RP.analyze_model(scored)[table], *cols)
+    return run
+
+
+for _table, _twin, _cols in (
+        ("confusion", "confusion_matrix_events", ()), ("confusion_normalized", "confusion_normalized_events", ()),
+        ("metrics", "metrics_report_events", ("metric_value",)), ("roc_curve", "roc_curve_events", ("fpr", "tpr", "j")),
+        ("class_stats", "score_stats_events", ("mean", "std")), ("histogram", "score_histogram_events", ()),
+        ("thresholds", "threshold_table_events", ()), ("balance", "label_balance_events", ("positive_pct", "negative_pct"))):
+    _analysis(_table, ORACLE[_twin], *_cols)
+
+_analysis("pr_curve", f"""{SE},
+{CURVE_SQL.format(src='se')}
+SELECT score AS threshold, round(tp / (tp + fp), 9) AS precision, round(tp / CAST(p AS DOUBLE), 9) AS recall, tp, fp FROM cum, tot
+UNION ALL SELECT NULL, 1, 0, 0, 0""", "precision", "recall")
+_analysis("best_youden", f"""{SE},
+{CURVE_SQL.format(src='se')}
+SELECT score AS threshold, round(tp / CAST(p AS DOUBLE), 9) AS tpr, round(fp / CAST(n AS DOUBLE), 9) AS fpr,
+  round((CAST(tp AS HUGEINT) * n - CAST(fp AS HUGEINT) * p) / (CAST(p AS DOUBLE) * n), 9) AS j FROM cum, tot
+ORDER BY CAST(tp AS HUGEINT) * n - CAST(fp AS HUGEINT) * p DESC, score DESC LIMIT 1""", "tpr", "fpr", "j")
+_analysis("best_f1", f"""{SE},
+{CURVE_SQL.format(src='se')},
+f AS (SELECT score, tp / (tp + fp) AS pr, tp / CAST(p AS DOUBLE) AS re FROM cum, tot)
+SELECT score AS threshold, round(pr, 9) AS precision, round(re, 9) AS recall, round(2 * pr * re / (pr + re + 1e-10), 9) AS f1 FROM f
+ORDER BY 2 * pr * re / (pr + re + 1e-10) DESC, score LIMIT 1""", "precision", "recall", "f1")
