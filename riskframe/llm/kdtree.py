@@ -205,7 +205,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     spark = vectors.sparkSession
     own = checkpointed(integer_vectors(vectors, id_col, vec_col, scale).withColumn("dim", F.size("v")))
     asked = integer_vectors(vectors.where(is_query), id_col, vec_col, scale).distinct().withColumn("dim", F.size("v"))
-    asked = checkpointed(asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(-(-max(1, asked.count()) // (BLOCK_QUERIES // 2))))))
+    asked = checkpointed(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(-(-max(1, asked.count()) // (BLOCK_QUERIES // 2))))))
     blocks = asked.groupBy("dim", "block").agg(F.count(F.lit(1)).alias("n")).orderBy("dim", "block").collect()
     schema = "query_no long, query_id long, score long, vec_id long"
     found, trees = None, {}

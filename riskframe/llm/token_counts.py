@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import chunks
+from riskframe.llm.common import checkpointed, chunks
 from riskframe.llm.tokens import TEXT_BYTES, default_tokenizer, encoder
 
 #: Lengths a block of the two-level sums spans.
@@ -45,7 +45,8 @@ def length_histogram(lengths: DataFrame, length_col: str = "length") -> DataFram
     block in its own task, and over the few block totals.
     """
     x = F.col(length_col).cast("long")
-    h = lengths.where(x.isNotNull()).groupBy(x.alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
+    # a row per different length, written once: it is read for the blocks and for the rows
+    h = checkpointed(lengths.where(x.isNotNull()).groupBy(x.alias("length")).agg(F.count(F.lit(1)).alias("n_docs")))
     h = h.withColumns({"tokens": F.col("length") * F.col("n_docs"), "block": F.floor(F.col("length") / BLOCK)})
     b = h.groupBy("block").agg(F.sum("n_docs").alias("bd"), F.sum("tokens").alias("bt"))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
