@@ -9,15 +9,21 @@ a linear SVM, and Platt scaling (Platt, 1999) fitted on out-of-fold margins.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.session import cut_lineage
+
 MAX_TREE_DEPTH = 30  # Spark refuses deeper trees
 
 
@@ -83,48 +89,78 @@ def fourier_features(df: DataFrame, features: str, out: str, n_features: int, n_
     return df.withColumn(out, array_to_vector(project(vector_to_array(F.col(features)))))
 
 
-class MarginClassifierModel:
+class MarginClassifierModel(Model):
     """Fitted E8: projection parameters, linear SVM and Platt sigmoid."""
 
-    def __init__(self, svc_model, a: float, b: float, params: dict):
-        self.svc_model, self.a, self.b, self.params = svc_model, a, b, params
+    def __init__(self, svc_model=None, a: float = 1.0, b: float = 0.0, params: dict | None = None):
+        super().__init__()
+        self.svc_model, self.a, self.b, self.params_ = svc_model, a, b, params or {}
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        p = self.params
+    def _transform(self, df: DataFrame) -> DataFrame:
+        p = self.params_
         z = fourier_features(df, p["features"], "_rff", p["n_features"], p["n_components"], p["gamma"], p["seed"])
         s = self.svc_model.transform(z).withColumn("margin", vector_to_array("rawPrediction")[1])
         prob1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(self.a) * F.col("margin") + F.lit(self.b))))
         return (s.drop("_rff", "rawPrediction")
                 .withColumn("prob1", prob1)
                 .withColumn("probability", array_to_vector(F.array(1 - F.col("prob1"), F.col("prob1"))))
+                .withColumn("rawPrediction", array_to_vector(F.array(-F.col("margin"), F.col("margin"))))
                 .withColumn("prediction", (F.col("prob1") >= 0.5).cast("double")).drop("prob1"))
 
-
-def fit_margin_classifier(train: DataFrame, n_features: int, label: str = "label", features: str = "features",
-                          C: float = 1.0, gamma: float = 0.1, n_components: int = 256, folds: int = 3,
-                          key: str | None = None, seed: int = 42, max_iter: int = 100) -> MarginClassifierModel:
-    """RFF + LinearSVC, with Platt scaling learned on out-of-fold margins."""
-    from riskframe.operators.sampling import kfold
-    from riskframe.session import cut_lineage
-    params = dict(features=features, n_features=n_features, n_components=n_components, gamma=gamma, seed=seed)
-    z = fourier_features(train, features, "_rff", n_features, n_components, gamma, seed)
-    n = train.count()
-    svc = LinearSVC(labelCol=label, featuresCol="_rff", regParam=1.0 / (C * max(1, n)), maxIter=max_iter)
-    if key is not None and folds > 1:
-        zf = cut_lineage(kfold(z, folds, key, seed))
-        parts = []
-        for f in range(folds):
-            m = svc.fit(zf.where(F.col("fold") != f))
-            parts.append(m.transform(zf.where(F.col("fold") == f)).select(
-                F.col(label).alias("y"), vector_to_array("rawPrediction")[1].alias("margin")))
-        oof = parts[0]
-        for p in parts[1:]:
-            oof = oof.unionByName(p)
-    else:
-        oof = None
-    model = svc.fit(z)
-    if oof is None:
-        oof = model.transform(z).select(F.col(label).alias("y"), vector_to_array("rawPrediction")[1].alias("margin"))
-    platt = LogisticRegression(labelCol="y", featuresCol="m", regParam=0.0).fit(
-        oof.withColumn("m", array_to_vector(F.array("margin"))))
-    return MarginClassifierModel(model, float(platt.coefficients[0]), float(platt.intercept), params)
+    def save(self, path: str) -> None:
+        """The SVM as Spark stores it, and the few numbers beside it as a JSON row."""
+        self.svc_model.write().overwrite().save(f"{path}/svm")
+        row = {"a": self.a, "b": self.b} | self.params_
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(row),)], "value string").write.mode("overwrite").text(f"{path}/margin")
+
+    @staticmethod
+    def load(path: str) -> MarginClassifierModel:
+        row = json.loads(SparkSession.active().read.text(f"{path}/margin").first()["value"])
+        return MarginClassifierModel(LinearSVCModel.load(f"{path}/svm"), row.pop("a"), row.pop("b"), row)
+
+
+class MarginClassifier(Estimator):
+    """RFF + LinearSVC, with Platt scaling learned on out-of-fold margins. As an
+    Estimator it fits into pipelines, cross-validation and sweeps; ``C`` and ``gamma``
+    are parameters of a grid.
+
+    Folds are dealt by ``key``, or where there is none by a hash of the features. Spark
+    numbers no rows, so without a key equal rows share a fold."""
+
+    C = Param(Params._dummy(), "C", "weight of the summed loss", TypeConverters.toFloat)
+    gamma = Param(Params._dummy(), "gamma", "width of the kernel", TypeConverters.toFloat)
+
+    def __init__(self, n_features: int, label: str = "label", features: str = "features", C: float = 1.0, gamma: float = 0.1,
+                 n_components: int = 256, folds: int = 3, key: str | None = None, seed: int = 42, max_iter: int = 100):
+        super().__init__()
+        self.label, self.features, self.key = label, features, key
+        self.n_features, self.n_components, self.folds, self.seed, self.max_iter = n_features, n_components, folds, seed, max_iter
+        self._setDefault(C=1.0, gamma=0.1)
+        self._set(C=C, gamma=gamma)
+
+    def _fit(self, train: DataFrame) -> MarginClassifierModel:
+        params = dict(features=self.features, n_features=self.n_features, n_components=self.n_components,
+                      gamma=self.getOrDefault("gamma"), seed=self.seed)
+        z = fourier_features(train, self.features, "_rff", self.n_features, self.n_components, params["gamma"], self.seed)
+        fold = (F.pmod(F.xxhash64(F.col(self.key) if self.key else vector_to_array(self.features), F.lit(self.seed)), F.lit(self.folds)))
+        # the projection runs once; every fold's fit reads the written table
+        z = cut_lineage(z.select(F.col(self.label).alias("y"), "_rff", fold.alias("fold")))
+        n = z.count()
+        svc = LinearSVC(labelCol="y", featuresCol="_rff", regParam=1.0 / (self.getOrDefault("C") * max(1, n)), maxIter=self.max_iter)
+        parts = None
+        for f in range(self.folds if self.folds > 1 else 0):
+            m = svc.fit(z.where(F.col("fold") != f))
+            part = m.transform(z.where(F.col("fold") == f)).select("y", vector_to_array("rawPrediction")[1].alias("margin"))
+            parts = part if parts is None else parts.unionByName(part)
+        model = svc.fit(z)
+        if parts is None:
+            parts = model.transform(z).select("y", vector_to_array("rawPrediction")[1].alias("margin"))
+        platt = LogisticRegression(labelCol="y", featuresCol="m", regParam=0.0).fit(
+            parts.withColumn("m", array_to_vector(F.array("margin"))))
+        return MarginClassifierModel(model, float(platt.coefficients[0]), float(platt.intercept), params)
+
+
+def fit_margin_classifier(train: DataFrame, n_features: int, **settings) -> MarginClassifierModel:
+    """E8 in one call: :class:`MarginClassifier` with these settings, fitted on ``train``."""
+    return MarginClassifier(n_features, **settings).fit(train)

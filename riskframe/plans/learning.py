@@ -197,6 +197,15 @@ def q_margin_classifier_embeddings(spark, d):
     return _metrics_df(spark, [{"model": "SVM (RFF)"} | EV.measures(sc)])
 
 
+@query("margin_sweep_embeddings")
+def q_margin_sweep_embeddings(spark, d):
+    """The margin classifier over seven strengths of regularisation."""
+    e = stratified_split(embeddings_frame(spark, d), "label", 0.2, "vec_id", 42)
+    tr, te = _train_test(cut_lineage(e))
+    make = lambda c: MD.MarginClassifier(64, C=c, gamma=0.05, n_components=128, key="vec_id", folds=1, max_iter=30)
+    return spark.createDataFrame(TU.sweep(make, [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0], tr, te))
+
+
 @query("mlp_embeddings")
 def q_mlp_embeddings(spark, d):
     """Perceptron with hidden layers 50 and 25."""

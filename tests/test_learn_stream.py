@@ -80,3 +80,27 @@ def test_stream_scoring(spark, tmp_path):
     assert spark.read.parquet(os.path.join(out, "rejected")).count() == 3
     assert set(r[0] for r in scored.select("cancer_risk").distinct().collect()) <= {"Low", "Medium", "High"}
     assert spark.read.parquet(os.path.join(out, "summary")).agg(F.sum("total_patients")).first()[0] == 50
+
+
+def test_margin_classifier_is_an_estimator(spark, tmp_path):
+    """It separates a ring from its middle, cross-validates over C, and comes back from disk."""
+    import math
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from riskframe.learn import models as MD
+    from riskframe.learn import tuning as TU
+    rows = [(i, (1.0 if i % 2 else 0.2) * math.cos(i), (1.0 if i % 2 else 0.2) * math.sin(i), i % 2, i % 4 // 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, x double, y double, label int, fold int")
+    df = df.withColumn("features", array_to_vector(F.array("x", "y"))).cache()
+    est = MD.MarginClassifier(2, gamma=2.0, n_components=32, key="k", folds=1, max_iter=8)
+    model, best, score = TU.cross_validate(Pipeline(stages=[est]), est, {"C": [0.1, 10.0]}, df)
+    assert set(best) == {"C"} and score > 0.99
+    fitted = est.fit(df)
+    fitted.save(str(tmp_path / "m"))
+    again = MD.MarginClassifierModel.load(str(tmp_path / "m"))
+    a, b = (m.transform(df).select("k", "prediction", F.round("margin", 9).alias("margin")).orderBy("k").collect() for m in (fitted, again))
+    assert a == b and sum(r["prediction"] == r["k"] % 2 for r in a) >= 297
+    df.unpersist()
