@@ -140,6 +140,20 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     return agg.select(F.try_divide(F.col("num").cast("double"), den).alias("roc_auc"))
 
 
+def roc_auc_by(df: DataFrame, group: str, label: str = "label", score: str = "score",
+               buckets: int | None = None) -> DataFrame:
+    """A15 per group of a stacked (group, label, score) table: every group's curve from one
+    scan and one pass of running sums."""
+    pts = cut_lineage(df.where(F.col(score).isNotNull()).groupBy(group, (-F.col(score).cast("double")).alias("_rf_desc")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
+    cum = running_sum(pts, ["_rf_desc"], {"tp": "pos"}, partition_cols=[group], buckets=buckets)
+    agg = cum.groupBy(group).agg(
+        F.sum(F.col("neg").cast(_DEC) * (2 * F.col("tp") - F.col("pos")).cast(_DEC)).alias("num"),
+        F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    den = F.lit(2.0) * F.col("p").cast("double") * F.col("n").cast("double")
+    return agg.select(group, F.try_divide(F.col("num").cast("double"), den).alias("roc_auc"))
+
+
 def average_precision(df: DataFrame, label: str = "label", score: str = "score",
                       points: DataFrame | None = None) -> DataFrame:
     """Sum over thresholds of (R_n - R_{n-1}) * P_n."""

@@ -681,15 +681,13 @@ def q_cv_summary_events(spark, d):
 
 
 def _per_model_auc(spark, d) -> DataFrame:
-    li = tb(spark, d, "lineitem")
-    rows = []
-    for pos, name in enumerate(["l_discount", "l_tax", "l_quantity"]):
-        df = li.select((F.col("l_returnflag") == "R").cast("int").alias("label"),
-                       F.col(name).cast("double").alias("score"))
-        auc = M.roc_auc(df).first()["roc_auc"]
-        rows.append((name, pos, auc))
-    return spark.createDataFrame(rows, "model string, position int, roc_auc double").withColumn(
-        "roc_auc", R9(F.col("roc_auc")))
+    """Three score columns stacked as models: one scan, one set of curves."""
+    models = [F.struct(F.lit(c).alias("model"), F.lit(i).alias("position"), F.col(c).cast("double").alias("score"))
+              for i, c in enumerate(["l_discount", "l_tax", "l_quantity"])]
+    li = tb(spark, d, "lineitem").select((F.col("l_returnflag") == "R").cast("int").alias("label"), F.inline(F.array(*models)))
+    auc = M.roc_auc_by(li, "model")
+    place = F.create_map(*[x for i, c in enumerate(["l_discount", "l_tax", "l_quantity"]) for x in (F.lit(c), F.lit(i))])
+    return auc.select("model", place[F.col("model")].alias("position"), R9(F.col("roc_auc")).alias("roc_auc"))
 
 
 def _auc_sql(col: str, pos: int) -> str:
