@@ -24,7 +24,7 @@ BUCKETS = 1 << 17
 SIZES = (2, 3)
 DIM = 12
 #: Labelled rows of each class that a fit may take, least hash of the id first.
-FIT_ROWS = 3000
+FIT_ROWS = 2000
 EPOCHS = 6
 #: Fold of crc32(doc_id) that no fit sees: 2 of 4.
 FOLDS, FOLD = 4, 2
@@ -49,8 +49,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """Texts of up to ``rows`` labelled documents of each class outside the held-out fold.
 
     Returns (label, text) rows, and how many labelled rows each class has in all.
-    Null ids, labels other than 0 and 1, and null texts' absence are all left out of
-    nothing but the fit.
+    Labels with a null id or a value other than 0 and 1 are not used.
     """
     own = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
     own = own.where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("id", folds, fold))
