@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 from riskframe.session import cut_lineage
 
 #: Text held as Python words at one time, in bytes. Bounds a task's memory.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Words whose ids, and whose hashes, a task keeps before it starts afresh.
-CACHE_WORDS = 800_000
-HASH_WORDS = 400_000
+CACHE_WORDS = 300_000
+HASH_WORDS = 300_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While a frame is written, Python gets batches of ``rows`` rows; for rows with several texts each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def held_out(id_col: str, folds: int, rest: int) -> Column:
     """True for rows that a fit must not see: crc32 of the id as text, mod ``folds``."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == rest, F.lit(False))

@@ -57,7 +57,7 @@ class WordTable:
     Holds at most ``limit`` words between calls, so its memory is bounded.
     """
 
-    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, limit: int = 700_000):
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, limit: int = 300_000):
         self.compute, self.width, self.limit = compute, width, limit
         self._empty()
 

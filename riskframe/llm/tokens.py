@@ -27,10 +27,10 @@ def default_tokenizer() -> str:
 
 
 #: Bytes of text encoded at one time; the more, the more often a cut comes again.
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 8 << 20
 #: Marks that may close a cut.
 MARKS = ".,;:!?"
-SEEN = 1 << 23
+SEEN = 1 << 22
 #: White space other than the space and the line end, in any Unicode version.
 OTHER_SPACE = [chr(c) for c in (*range(9, 14), *range(28, 32), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000) if c != 10]
 #: The last letter up to which every Unicode version agrees on what is a letter.
