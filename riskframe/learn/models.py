@@ -13,9 +13,10 @@ import json
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +35,37 @@ def _depth(max_depth: int | None) -> int:
 
 
 def logistic(C: float = 1.0, penalty: str = "l2", l1_ratio: float = 0.5, n_rows: int = 1,
-             max_iter: int = 100, label: str = "label", features: str = "features") -> LogisticRegression:
-    """E5: none / l1 / l2 / elasticnet logistic regression."""
+             max_iter: int = 100, label: str = "label", features: str = "features",
+             solver: str = "lbfgs") -> LogisticRegression | PenalisedIntercept:
+    """E5: none / l1 / l2 / elasticnet logistic regression.
+
+    ``solver="liblinear"`` solves that library's problem: the intercept is the weight of
+    a constant feature and is penalised like the others."""
     reg = 0.0 if penalty == "none" else 1.0 / (C * max(1, n_rows))
     mix = {"none": 0.0, "l2": 0.0, "l1": 1.0, "elasticnet": l1_ratio}[penalty]
-    return LogisticRegression(labelCol=label, featuresCol=features, regParam=reg, elasticNetParam=mix,
-                              standardization=False, maxIter=max_iter)
+    est = LogisticRegression(labelCol=label, featuresCol=features, regParam=reg, elasticNetParam=mix,
+                             standardization=False, maxIter=max_iter)
+    if solver != "liblinear":
+        return est
+    return PenalisedIntercept(est.setFeaturesCol("_with_one").setFitIntercept(False), features, label)
+
+
+class PenalisedIntercept(Estimator):
+    """``est`` without intercept on the features and a constant one. Spark gives constant
+    columns no weight, so each row also comes mirrored, (-x, other label), which has the
+    same loss and leaves the mean loss as it is."""
+
+    def __init__(self, est: LogisticRegression, features: str, label: str):
+        super().__init__()
+        self.est, self.features, self.label = est, features, label
+
+    def _fit(self, train: DataFrame) -> PipelineModel:
+        one = [SQLTransformer(statement="SELECT *, 1.0D AS _one FROM __THIS__"),
+               VectorAssembler(inputCols=[self.features, "_one"], outputCol="_with_one")]
+        z = PipelineModel(stages=one).transform(train).select(F.col(self.label).cast("double").alias(self.label), "_with_one")
+        other = array_to_vector(F.transform(vector_to_array("_with_one"), lambda x: -x))
+        both = z.unionAll(z.select((1 - F.col(self.label)).alias(self.label), other.alias("_with_one")))
+        return PipelineModel(stages=[*one, self.est.fit(both)])
 
 
 def random_forest(num_trees: int = 100, max_depth: int | None = 10, feature_subset: str = "sqrt",
@@ -89,6 +115,23 @@ def fourier_features(df: DataFrame, features: str, out: str, n_features: int, n_
     return df.withColumn(out, array_to_vector(project(vector_to_array(F.col(features)))))
 
 
+def kernel_width(value):
+    return value if value in ("scale", "auto") else TypeConverters.toFloat(value)
+
+
+def width_of(gamma: float | str, train: DataFrame, features: str, n_features: int) -> float:
+    """``gamma`` itself; "auto" is 1 / features, "scale" 1 / (features * variance of all entries)."""
+    if gamma == "auto":
+        return 1.0 / n_features
+    if gamma != "scale":
+        return gamma
+    v, zero = vector_to_array(F.col(features)), F.lit(0.0)
+    m = train.select(F.aggregate(v, zero, lambda a, x: a + x).alias("s"), F.aggregate(v, zero, lambda a, x: a + x * x).alias("q"))
+    m = m.agg(F.avg("s").alias("s"), F.avg("q").alias("q")).first()
+    spread = m["q"] / n_features - (m["s"] / n_features) ** 2
+    return 1.0 / (n_features * spread) if spread > 0 else 1.0
+
+
 class MarginClassifierModel(Model):
     """Fitted E8: projection parameters, linear SVM and Platt sigmoid."""
 
@@ -126,12 +169,13 @@ class MarginClassifier(Estimator):
     are parameters of a grid.
 
     Folds are dealt by ``key``, or where there is none by a hash of the features. Spark
-    numbers no rows, so without a key equal rows share a fold."""
+    numbers no rows, so without a key equal rows share a fold. Without ``n_features`` the
+    first row tells the length of the vectors. ``gamma`` may be "scale" or "auto"."""
 
     C = Param(Params._dummy(), "C", "weight of the summed loss", TypeConverters.toFloat)
-    gamma = Param(Params._dummy(), "gamma", "width of the kernel", TypeConverters.toFloat)
+    gamma = Param(Params._dummy(), "gamma", "width of the kernel", kernel_width)
 
-    def __init__(self, n_features: int, label: str = "label", features: str = "features", C: float = 1.0, gamma: float = 0.1,
+    def __init__(self, n_features: int | None = None, label: str = "label", features: str = "features", C: float = 1.0, gamma: float | str = 0.1,
                  n_components: int = 256, folds: int = 3, key: str | None = None, seed: int = 42, max_iter: int = 100):
         super().__init__()
         self.label, self.features, self.key = label, features, key
@@ -140,9 +184,10 @@ class MarginClassifier(Estimator):
         self._set(C=C, gamma=gamma)
 
     def _fit(self, train: DataFrame) -> MarginClassifierModel:
-        params = dict(features=self.features, n_features=self.n_features, n_components=self.n_components,
-                      gamma=self.getOrDefault("gamma"), seed=self.seed)
-        z = fourier_features(train, self.features, "_rff", self.n_features, self.n_components, params["gamma"], self.seed)
+        size = self.n_features or train.select(self.features).first()[0].size
+        params = dict(features=self.features, n_features=size, n_components=self.n_components,
+                      gamma=width_of(self.getOrDefault("gamma"), train, self.features, size), seed=self.seed)
+        z = fourier_features(train, self.features, "_rff", size, self.n_components, params["gamma"], self.seed)
         fold = (F.pmod(F.xxhash64(F.col(self.key) if self.key else vector_to_array(self.features), F.lit(self.seed)), F.lit(self.folds)))
         # the projection runs once; every fold's fit reads the written table
         z = cut_lineage(z.select(F.col(self.label).alias("y"), "_rff", fold.alias("fold")))

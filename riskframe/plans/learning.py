@@ -68,15 +68,48 @@ def _metrics_df(spark, rows):
     return EV.metrics_table(spark, rows)
 
 
+#: Iterations that a fit may take, as in the reference; it ends before by tolerance.
+MAX_ITER = 1000
+#: The reference's grids. Draws of 50 where a grid has over 100 combinations.
+GRIDS = {
+    "Logistic Regression": {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l2"], "solver": ["lbfgs", "liblinear"],
+                            "max_iter": [1000, 2000]},
+    "Random Forest": {"n_estimators": [100, 200, 300, 500], "max_depth": [None, 10, 20, 30, 50],
+                      "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],
+                      "max_features": ["sqrt", "log2"], "bootstrap": [True, False]},
+    "SVM": {"C": [0.1, 1.0, 10.0, 100.0], "kernel": ["rbf"], "gamma": ["scale", "auto", 0.01, 0.1, 1.0]},
+    "Gradient Boosting": {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1, 0.2], "max_depth": [3, 5, 7, 10],
+                          "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4], "subsample": [0.8, 0.9, 1.0]},
+}
+
+
+def four_models(n):
+    """The reference's four models, unfitted, for n training rows."""
+    return {"Logistic Regression": MD.logistic(1.0, "l2", n_rows=n, max_iter=MAX_ITER),
+            "Random Forest": MD.random_forest(200, None),
+            "SVM": MD.MarginClassifier(gamma="scale", max_iter=MAX_ITER),
+            "Gradient Boosting": MD.gradient_boosting(100, 0.1, 3)}
+
+
+def candidate(name, c, n):
+    """The estimator of a combination ``c`` of ``GRIDS[name]``. Spark's trees end at depth 30
+    and have no least size of a node to split."""
+    if name == "Logistic Regression":
+        return MD.logistic(c["C"], c["penalty"], n_rows=n, max_iter=c["max_iter"], solver=c["solver"])
+    if name == "SVM":
+        return MD.MarginClassifier(C=c["C"], gamma=c["gamma"], max_iter=MAX_ITER)
+    if name == "Random Forest":
+        return MD.random_forest(c["n_estimators"], min(c["max_depth"] or MD.MAX_TREE_DEPTH, MD.MAX_TREE_DEPTH),
+                                c["max_features"], c["bootstrap"], c["min_samples_leaf"])
+    return MD.gradient_boosting(c["n_estimators"], c["learning_rate"], c["max_depth"], c["subsample"], c["min_samples_leaf"])
+
+
 @query("evaluate_models_patients")
 def q_evaluate_models_patients(spark, d):
-    """Three models, one fit and one scoring each."""
+    """Four models, one fit and one scoring each."""
     df = patient_split(spark, d)
     tr, te = _train_test(df)
-    n = tr.count()
-    cands = {"Logistic Regression": MD.logistic(1.0, "l2", n_rows=n, max_iter=30),
-             "Random Forest": MD.random_forest(30, 8),
-             "Gradient Boosting": MD.gradient_boosting(20, 0.1, 3)}
+    cands = four_models(tr.count())
     # one preprocessor fit and one transform of each side, shared by all models
     _, rows = EV.evaluate_models(cands, Pipeline(stages=PP.preprocessor_stages(NUMERIC, CATS)), tr, te)
     res = spark.createDataFrame([(r["model"], r["position"], r["accuracy"], r["f1"], r["roc_auc"]) for r in rows],
@@ -89,34 +122,24 @@ def q_evaluate_models_patients(spark, d):
 
 @query("kfold_logistic_patients")
 def q_kfold_logistic_patients(spark, d):
-    """E11 + A20: five folds, all measures from one fit per fold."""
+    """E11 + A20: four models, five folds, all measures from one fit per fold."""
     df = cut_lineage(kfold(patient_split(spark, d), 5, "patient_id", 7))
-    n = df.count()
-    folds = EV.evaluate_kfold("Logistic Regression", PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=n, max_iter=30)),
-                              df, "fold", 5)
+    folds = EV.evaluate_kfold_models(four_models, Pipeline(stages=PP.preprocessor_stages(NUMERIC, CATS)), df, "fold", 5)
     return M.cv_summary(folds, "model", ["accuracy", "precision", "recall", "f1", "roc_auc"])
 
 
 @query("tuning_patients")
 def q_tuning_patients(spark, d):
-    """Grid search (logistic) and random search (boosting) with
-    stratified 3-fold CV on a fold column, then baseline-vs-tuned."""
+    """Four models over the whole grids (logistic, margin) or 50 draws (forest,
+    boosting) with stratified 5-fold CV on a fold column, then baseline-vs-tuned."""
     df = patient_split(spark, d)
     tr, te = _train_test(df)
-    tr = cut_lineage(stratified_kfold(tr, "label", 3, "patient_id", 42))
-    n = tr.count()
+    tr = cut_lineage(stratified_kfold(tr, "label", 5, "patient_id", 42))
     pre = PP.preprocessor_stages(NUMERIC, CATS)
-    lr = MD.logistic(1.0, "l2", n_rows=n, max_iter=30)
-    lr_model, lr_best, lr_cv = TU.cross_validate(Pipeline(stages=pre + [lr]), lr,
-                                                 {"regParam": [1e-4, 1e-2]}, tr)
-    gb = MD.gradient_boosting(10, 0.1, 3)
-    gb_model, gb_best, gb_cv = TU.cross_validate(Pipeline(stages=pre + [gb]), gb,
-                                                 {"maxDepth": [2, 3], "stepSize": [0.05, 0.1], "maxIter": [5, 10]},
-                                                 tr, n=2, seed=42, limit=4)
-    rows = [TU.compare_tuning("Logistic Regression", PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=n, max_iter=30)),
-                              lr_model, lr_cv, lr_best, tr, te),
-            TU.compare_tuning("Gradient Boosting", PP.pipeline(NUMERIC, CATS, MD.gradient_boosting(10)),
-                              gb_model, gb_cv, gb_best, tr, te)]
+    rows = []
+    for name, base in four_models(tr.count()).items():
+        model, best, cv = TU.search(lambda c, n: candidate(name, c, n), GRIDS[name], Pipeline(stages=pre), tr)  # noqa: B023  called here only
+        rows.append(TU.compare_tuning(name, Pipeline(stages=[*pre, base]), model, cv, best, tr, te))
     return spark.createDataFrame(rows)
 
 
@@ -176,14 +199,15 @@ def q_pca_loadings_embeddings(spark, d):
 
 @query("compare_pca_embeddings")
 def q_compare_pca_embeddings(spark, d):
-    """Logistic and boosting with and without the 95% projection."""
+    """Logistic, forest and boosting with and without the 95% projection."""
     e = stratified_split(embeddings_frame(spark, d), "label", 0.2, "vec_id", 42)
     tr, te = _train_test(e)
     model = PCA_.pca_fit(tr, "features", 64)
     k = components_for(PCA_.scree(spark, model), 0.95).first()["n_components"]
     n = tr.count()
-    ests = {"Logistic Regression": lambda f: MD.logistic(1.0, "l2", n_rows=n, features=f),
-            "Gradient Boosting": lambda f: MD.gradient_boosting(10, 0.1, 3, features=f)}
+    ests = {"Logistic Regression": lambda f: MD.logistic(1.0, "l2", n_rows=n, max_iter=MAX_ITER, features=f),
+            "Random Forest": lambda f: MD.random_forest(100, None, features=f),
+            "Gradient Boosting": lambda f: MD.gradient_boosting(100, 0.1, 3, features=f)}
     return spark.createDataFrame(PCA_.compare_pca(ests, tr, te, model, int(k)))
 
 
