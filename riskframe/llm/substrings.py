@@ -4,7 +4,9 @@
    consecutive words in it; equal windows have equal anchors. Anchors that two
    documents have are found by a shuffle of (anchor, document) pairs.
 2. Runs of windows of one anchor that more documents have are cut out of the texts
-   and meet in the anchor's shard.
+   and meet in the anchor's shard. Windows of an anchor with very many different runs
+   (told from a sample of the documents) go one by one, each to the shard of its own
+   hash, so that no anchor fills a shard.
 3. Each shard builds a compressed FM-index of its different runs and streams them
    through it by backward search, which gives each window the least document that
    has it.
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.blobs import BLOB, blob_batch, meet, split_parts
-from riskframe.llm.common import Words, chunks, grams, parts_for, run_starts
+from riskframe.llm.common import Words, chunks, grams, mix, parts_for, run_starts
 from riskframe.llm.fmindex import FMIndex
 
 WINDOW, GRAM = 13, 4
@@ -35,6 +37,9 @@ WINDOW, GRAM = 13, 4
 RUN_WINDOWS = 32
 #: Documents whose anchors a part holds, on average.
 PART_DOCS = 4000
+#: Different runs of an anchor beyond which its windows are dealt one by one, and the share
+#: of documents (one in so many) in which they are counted.
+HOT_RUNS, HOT_SAMPLE = 4000, 64
 PAIRS, SETTLED = 0, 1
 
 
@@ -136,6 +141,31 @@ def shared_anchors(docs: DataFrame, parts: int, window: int, gram: int) -> DataF
     return meet(docs.select("id", "t").mapInArrow(pack, BLOB), parts, work, "id long, keys binary")
 
 
+def hot_anchors(docs: DataFrame, window: int, gram: int) -> np.ndarray:
+    """Anchors with about ``HOT_RUNS`` different runs or more, sorted. Only says where windows
+    meet, so a sample of the documents serves; it has ``HOT_RUNS / HOT_SAMPLE`` runs of each."""
+
+    def count(batches):
+        seen = Words(xxhash.xxh3_64_intdigest)
+        for b in batches:
+            for _, _, _, h, sizes in hash_words(b, 1, seen):
+                a, whole = anchors(h, sizes, window, gram)
+                full = grams(h, window)
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                first = whole.copy()
+                first[1:] &= ~whole[:-1] | (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])
+                last = whole.copy()
+                last[:-1] &= ~whole[1:] | (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])
+                s, e = np.flatnonzero(first), np.flatnonzero(last)
+                run = mix(full[s] ^ mix(full[e] + np.uint64(1)))
+                yield pa.RecordBatch.from_arrays([pa.array(a[s].view(np.int64)), pa.array(run.view(np.int64))], ["anchor", "run"])
+
+    some = docs.where(F.pmod(F.xxhash64("id", F.lit("hot")), F.lit(HOT_SAMPLE)) == 0).select("id", "t")
+    runs = some.mapInArrow(count, "anchor long, run long").distinct().groupBy("anchor").count()
+    hot = runs.where(F.col("count") >= max(2, HOT_RUNS // HOT_SAMPLE)).select("anchor").collect()
+    return np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64))
+
+
 def run_blob(segments: list[bytes], docs: np.ndarray, texts: np.ndarray, starts: np.ndarray) -> bytes:
     """Runs of words with their document, text hash and first word; compressed, as most words come several times."""
     order = sorted(range(len(segments)), key=segments.__getitem__)
@@ -155,8 +185,9 @@ def spans_blob(docs: np.ndarray, texts: np.ndarray, starts: np.ndarray, ends: np
     return np.int64(len(docs)).tobytes() + np.concatenate([docs, texts, starts, ends]).astype(np.int64).tobytes()
 
 
-def repeated_spans(docs: DataFrame, parts: int, window: int, gram: int) -> DataFrame:
-    """(id, th, spans): words of each document (by id and text) that windows of earlier ones cover."""
+def repeated_spans(docs: DataFrame, parts: int, window: int, gram: int, hot: np.ndarray) -> DataFrame:
+    """(id, th, spans): words of each document (by id and text) that windows of earlier ones cover.
+    Windows of ``hot`` anchors are dealt by their own hash."""
     flagged = shared_anchors(docs, parts, window, gram).groupBy("id").agg(F.collect_list("keys").alias("keys"))  # bounded by the document's length
     near = docs.join(flagged, "id").select("id", "th", "t", "keys")
 
@@ -169,16 +200,23 @@ def repeated_spans(docs: DataFrame, parts: int, window: int, gram: int) -> DataF
             seg, doc_of, text_of, start_of, key_of = [], [], [], [], []
             for lo, _, words, h, sizes in hash_words(b, 2, seen):
                 a, whole = anchors(h, sizes, window, gram)
+                alone = np.isin(a, hot) if len(hot) else np.zeros(len(a), bool)
+                deal = a
+                if alone.any():
+                    # words too near the end to start a window are never looked up
+                    full = np.zeros(len(a), np.uint64)
+                    full[: max(0, len(a) - window + 1)] = grams(h, window)
+                    deal = np.where(alone, full, a)
                 at = 0
                 for i, (w, n) in enumerate(zip(words, sizes.tolist(), strict=True)):
-                    mine = a[at : at + n]
+                    mine, one, to = a[at : at + n], alone[at : at + n], deal[at : at + n]
                     ok = whole[at : at + n] & np.isin(mine, np.frombuffer(b"".join(keys[lo + i].as_py()), np.uint64))
                     at += n
                     place = np.flatnonzero(ok)
                     if not len(place):
                         continue
                     new = np.ones(len(place), bool)
-                    new[1:] = (np.diff(place) > 1) | (mine[place[1:]] != mine[place[:-1]])
+                    new[1:] = (np.diff(place) > 1) | (mine[place[1:]] != mine[place[:-1]]) | one[place[1:]]
                     edge = np.append(np.flatnonzero(new), len(place)).tolist()
                     for s, e in zip(edge[:-1], edge[1:], strict=True):
                         for x in range(s, e, RUN_WINDOWS):
@@ -189,7 +227,7 @@ def repeated_spans(docs: DataFrame, parts: int, window: int, gram: int) -> DataF
                             doc_of.append(ids[lo + i])
                             text_of.append(ths[lo + i])
                             start_of.append(first)
-                            key_of.append(mine[first])
+                            key_of.append(to[first])
             if not seg:
                 continue
             texts = list(met)
@@ -289,9 +327,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     kept = docs.drop("n_words", "n_removed", "kept_sha256")
     names = kept.columns
-    parts = parts_for(docs.count(), part_docs)
+    n = docs.count()
+    parts = parts_for(n, part_docs)
     own = docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("th"), F.col(text_col).cast("binary").alias("t")).where("id IS NOT NULL")
-    spans = repeated_spans(own, parts, window, gram).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
+    hot = hot_anchors(own, window, gram) if n > HOT_RUNS else np.zeros(0, np.uint64)
+    spans = repeated_spans(own, parts, window, gram, hot).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
     rows = kept.join(spans, (F.col(id_col).cast("long") == F.col("__id")) & (text_key(F.col(text_col)) == F.col("__th")), "left").drop("__id", "__th")
     at, text_type = names.index(text_col), docs.schema[text_col].dataType
 

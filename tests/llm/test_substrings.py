@@ -3,9 +3,11 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from frames import ODD, docs_frame, passages
 
 from riskframe.llm import substrings
+from riskframe.llm.common import grams
 from riskframe.llm.fmindex import FMIndex
 
 
@@ -72,3 +74,24 @@ def test_same_id_with_two_texts_and_large_group(spark):
 def test_empty_table(spark):
     got = substrings.remove_repeats(docs_frame(spark, []))
     assert got.count() == 0 and "kept_sha256" in got.columns
+
+
+def test_hot_anchor_is_spread(spark, monkeypatch):
+    """A phrase with other words around it in each document fills no part, and results stay."""
+    rng = random.Random(5)
+    word = lambda: f"v{rng.randrange(10 ** 6)}"
+    # of these phrases the one whose hash is least, so that it is the anchor of its windows
+    phrase = min((f"the very same phrase{k}".split() for k in range(500)), key=lambda p: grams(np.array([xxhash.xxh3_64_intdigest(w) for w in p], np.uint64), 4)[0])
+    texts = [[word() for _ in range(12)] + phrase + [word() for _ in range(12)] for _ in range(300)]
+    texts += [list(t) for t in texts[:20]] + [t[5:25] + [word()] for t in texts[20:40]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(substrings, "HOT_RUNS", 20, raising=False)
+    monkeypatch.setattr(substrings, "HOT_SAMPLE", 1, raising=False)
+    sent, meet = [], substrings.meet
+    monkeypatch.setattr(substrings, "meet", lambda packed, parts, work, schema: sent.append(packed) or meet(packed, parts, work, schema))
+    got = substrings.remove_repeats(docs_frame(spark, rows, extra=False).repartition(3))
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.text) for r in got.collect()), key=str) == brute(rows)
+    words = {}
+    for part, data in sent[1].where(f"kind = {substrings.PAIRS}").select("part", "data").collect():
+        words[part] = words.get(part, 0) + sum(len(x.split()) for x in substrings.runs_of(bytes(data))[0])
+    assert max(words.values()) < sum(words.values()) / 8
