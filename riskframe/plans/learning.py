@@ -149,7 +149,7 @@ def q_regularization_patients(spark, d):
     df = patient_split(spark, d)
     tr, te = _train_test(df)
     n = tr.count()
-    variants = {name: PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, pen, 0.5, n_rows=n, max_iter=30))
+    variants = {name: PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, pen, 0.5, n_rows=n, max_iter=MAX_ITER))
                 for name, pen in [("No Regularization", "none"), ("L1 Regularization", "l1"),
                                   ("L2 Regularization", "l2"), ("ElasticNet", "elasticnet")]}
     rows, _ = TU.compare_regularization(variants, tr, te)
@@ -162,8 +162,8 @@ def q_coefficients_patients(spark, d):
     df = patient_split(spark, d)
     tr, _ = _train_test(df)
     n = tr.count()
-    l1 = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l1", n_rows=n, max_iter=30)).fit(tr)
-    l2 = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=n, max_iter=30)).fit(tr)
+    l1 = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l1", n_rows=n, max_iter=MAX_ITER)).fit(tr)
+    l2 = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=n, max_iter=MAX_ITER)).fit(tr)
     names = PP.feature_names(l2, NUMERIC, CATS)
     return IM.compare_coefficients(spark, {"L1": l1.stages[-1], "L2": l2.stages[-1]}, names, 15)
 
@@ -216,7 +216,7 @@ def q_margin_classifier_embeddings(spark, d):
     """Random Fourier features + linear SVM + Platt scaling."""
     e = stratified_split(embeddings_frame(spark, d), "label", 0.2, "vec_id", 42)
     tr, te = _train_test(e)
-    m = MD.fit_margin_classifier(tr, 64, C=1.0, gamma=0.05, n_components=128, key="vec_id", max_iter=30)
+    m = MD.fit_margin_classifier(tr, 64, C=1.0, gamma=0.05, n_components=128, key="vec_id", max_iter=MAX_ITER)
     sc = EV.scored(m.transform(te)).cache()
     return _metrics_df(spark, [{"model": "SVM (RFF)"} | EV.measures(sc)])
 
@@ -226,7 +226,7 @@ def q_margin_sweep_embeddings(spark, d):
     """The margin classifier over seven strengths of regularisation."""
     e = stratified_split(embeddings_frame(spark, d), "label", 0.2, "vec_id", 42)
     tr, te = _train_test(cut_lineage(e))
-    make = lambda c: MD.MarginClassifier(64, C=c, gamma=0.05, n_components=128, key="vec_id", folds=1, max_iter=30)
+    make = lambda c: MD.MarginClassifier(64, C=c, gamma=0.05, n_components=128, key="vec_id", max_iter=MAX_ITER)
     return spark.createDataFrame(TU.sweep(make, [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0], tr, te))
 
 
@@ -235,7 +235,7 @@ def q_mlp_embeddings(spark, d):
     """Perceptron with hidden layers 50 and 25."""
     e = stratified_split(embeddings_frame(spark, d), "label", 0.2, "vec_id", 42)
     tr, te = _train_test(e)
-    _, m = EV.evaluate_model("Neural Network", MD.mlp(64, (50, 25), 50), tr, te)
+    _, m = EV.evaluate_model("Neural Network", MD.mlp(64, (50, 25), MAX_ITER), tr, te)
     return _metrics_df(spark, [m])
 
 
@@ -247,7 +247,7 @@ def q_validation_curve_documents(spark, d):
     values = spark.range(1).select(FX.logspace(-3, 3, 10).alias("v")).first()["v"]
 
     def make(c):
-        return PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.logistic(float(c), "l2", n_rows=n, max_iter=30))
+        return PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.logistic(float(c), "l2", n_rows=n, max_iter=MAX_ITER))
     return spark.createDataFrame(TU.validation_curve(make, values, docs))
 
 
@@ -260,7 +260,7 @@ def q_sweep_documents(spark, d):
     n = tr.count()
 
     def make(c):
-        return PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.logistic(float(c), "l2", n_rows=n, max_iter=30))
+        return PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.logistic(float(c), "l2", n_rows=n, max_iter=MAX_ITER))
     return spark.createDataFrame(TU.sweep(make, [0.001, 0.01, 0.1, 1.0, 10.0, 100.0], tr, te))
 
 
@@ -314,6 +314,6 @@ def q_score_batch_patients(spark, d):
     from riskframe.learn.scoring import score_batch
     df = patient_split(spark, d)
     tr, te = _train_test(df)
-    model = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=tr.count(), max_iter=30)).fit(tr)
+    model = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=tr.count(), max_iter=MAX_ITER)).fit(tr)
     raw = [c for c in patients_from(tb(spark, d, "orders").limit(0), "o_orderkey").columns if c != "cancer"]
     return score_batch(te.select(*raw), model, "patient_id")

@@ -121,3 +121,15 @@ def test_kernel_width(spark, gamma, expected):
     m = MD.MarginClassifier(gamma=gamma, n_components=8, folds=1, max_iter=5).fit(df)
     assert m.params_["n_features"] == 2 and m.params_["gamma"] == pytest.approx(expected or 1 / (2 * x.var()))
     df.unpersist()
+
+
+def test_fits_end_by_tolerance(spark, few, monkeypatch):
+    """Fits may take the reference's 1000 iterations; the sweep keeps its out-of-fold margins."""
+    caps = []
+    monkeypatch.setattr(TU, "compare_regularization", lambda variants, tr, te: caps.extend(p.getStages()[-1].getMaxIter() for p in variants.values()) or ([{"x": 1}], {}))
+    L.q_regularization_patients(spark, SF_SMALL)
+    monkeypatch.setattr(TU, "sweep", lambda make, *a: caps.append(make(1.0).max_iter) or caps.append(1000 * (make(1.0).folds > 1)) or [{"x": 1}])
+    L.q_margin_sweep_embeddings(spark, SF_SMALL)
+    monkeypatch.setattr(EV, "evaluate_model", lambda name, est, *a: caps.append(est.getMaxIter()) or (None, {"model": name}))
+    L.q_mlp_embeddings(spark, SF_SMALL)
+    assert caps == [1000] * 7
