@@ -99,10 +99,12 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     own = fingerprints(b.where(F.col("n") >= WINDOW), []).select(F.explode("fps").alias("fp"))
     for k in short:
         own = own.unionAll(b.where(F.col("n") == k).select(run_hash(F.col("h"), F.lit(0), k, 1).alias("fp")))
-    own = own.distinct().withColumn("hit", F.lit(True))
-    # a row without fingerprint stands for the document itself, so that none is lost
+    own = own.distinct().select(F.col("fp").alias("own_fp"), F.lit(True).alias("hit"))
+    # a row without fingerprint stands for the document itself, so that none is lost; it goes
+    # by the document's hash into the join, where it matches nothing
     prints = fingerprints(hashed(d, "t"), short).select(*key, "n", F.explode(F.concat(F.array(F.lit(None).cast("long")), "fps")).alias("fp"))
-    seen = prints.join(send(own), "fp", "left").where(F.col("fp").isNull() | F.col("hit"))
+    prints = prints.withColumn("at", F.coalesce("fp", F.xxhash64(*key)))
+    seen = prints.join(send(own), (F.col("at") == F.col("own_fp")) & F.col("fp").isNotNull(), "left").where(F.col("fp").isNull() | F.col("hit"))
     seen = checkpointed(seen.groupBy(*key).agg(
         F.max("n").alias("n"), F.count_if(F.col("fp").isNull()).alias("times"), F.coalesce(F.bool_or("hit"), F.lit(False)).alias("hit")))
 

@@ -80,3 +80,26 @@ def test_plan_has_no_python(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
     plan = decontaminate.contamination(docs_frame(spark, [(1, "x y")]), bench)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_marker_rows_are_spread(spark, monkeypatch):
+    """Where both sides of the fingerprint join shuffle, no task gets a row of every document."""
+    from pyspark.sql import functions as F
+    frames, keep = [], decontaminate.checkpointed
+    monkeypatch.setattr(decontaminate, "checkpointed", lambda df: frames.append(df) or keep(df))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        words = " ".join(f"w{i}" for i in range(12))
+        bench = spark.createDataFrame([("a", words)], "item_id string, text string")
+        docs = docs_frame(spark, [(i, f"short {i}") for i in range(400)] + [(1000, f"x {words} y")])
+        got = decontaminate.contamination(docs, bench).collect()
+        joined = frames[1]._jdf.queryExecution().optimizedPlan().children().head().toString()
+        assert "coalesce(fp" in joined or "AS at#" in joined
+        assert len(got) == 401 and [r.doc_id for r in got if r.contaminated] == [1000]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
