@@ -135,7 +135,23 @@ def q_permutation_of_unread_column(spark, d):
     """Shuffling a column that the model does not read changes nothing."""
     df = cut_lineage(labelled(spark, d).join(tb(spark, d, "documents").select("doc_id", "n_chars"), "doc_id"))
     model = Pipeline(stages=[*PP.preprocessor_stages([], ["lang"]), MD.random_forest(1, 8, "all", bootstrap=False)]).fit(df)
-    return IM.permutation_importance(model, df, ["n_chars"], "doc_id", repeats=3)
+    return IM.permutation_importance(model, df, ["n_chars"], "doc_id", repeats=10)
+
+
+@query("permutation_of_read_column", f"""
+WITH u AS (SELECT doc_id, coalesce(lang, 'none') = 'en' AS en FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+s(seed) AS (VALUES {", ".join(f"({42 + r})" for r in range(10))}),
+a AS (SELECT en, row_number() OVER (ORDER BY doc_id) AS i FROM u),
+b AS (SELECT seed, en, row_number() OVER (PARTITION BY seed ORDER BY
+  ('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), CAST(seed AS VARCHAR))), 1, 15))::BIGINT, doc_id) AS i FROM u, s),
+r AS (SELECT seed, avg(CAST(a.en = b.en AS DOUBLE)) AS acc FROM a JOIN b USING (i) GROUP BY seed)
+SELECT 'lang' AS feature, round(1 - avg(acc), 6) AS importance_mean, round(stddev_pop(acc), 6) AS importance_std FROM r""")
+def q_permutation_of_read_column(spark, d):
+    """A model that knows the label from the language loses what each of ten shuffles takes."""
+    df = labelled(spark, d).withColumn("label", (F.col("lang") == "en").cast("int"))
+    model = Pipeline(stages=[*PP.preprocessor_stages([], ["lang"]), MD.random_forest(1, 8, "all", bootstrap=False)]).fit(df)
+    out = IM.permutation_importance(model, df, ["lang"], "doc_id", repeats=10)
+    return out.select("feature", *[F.round(c, 6).alias(c) for c in ("importance_mean", "importance_std")])
 
 
 @query("grid_of_orders", """
