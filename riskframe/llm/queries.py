@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import archives, decontaminate, kdtree, language, packing, parity, quality, substrings, token_counts, toxicity
-from riskframe.llm.common import held_out, table
+from riskframe.llm import archives, codes, decontaminate, kdtree, language, packing, parity, quality, substrings, token_counts, toxicity
+from riskframe.llm.common import checkpointed, held_out, table
 from riskframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,35 @@ def op10(spark, d):
     held = held_out("doc_id", toxicity.FOLDS, toxicity.FOLD).alias("held_out")
     return toxicity.score_toxicity(docs.select("doc_id", "text"), model).select(
         "doc_id", held, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def _codes_sql() -> str:
+    """Codebooks round by round; squared distances of integer vectors are exact in doubles."""
+    part = "list_transform(range(4), lambda p: v[CAST(p * len(v) / 4 AS BIGINT) + 1:CAST((p + 1) * len(v) / 4 AS BIGINT)])"
+    ctes = [f"""e AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, unnest(range(4)) AS part, unnest({part}) AS v FROM e),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, v FROM x WHERE r <= 256)"""]
+    for i in range(5):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT r, x.part, min(CAST(list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, c.v) + list_dot_product(c.v, c.v) AS BIGINT) * 256 + entry) AS k
+  FROM x JOIN c{i} c USING (part) GROUP BY r, x.part)""")
+        if i < 4:
+            ctes.append(f"""m{i} AS (SELECT part, entry, list(s ORDER BY d) AS v FROM (
+    SELECT part, k % 256 AS entry, d, floor(sum(y) / count(*)) AS s FROM (
+      SELECT a.part, k, unnest(v) AS y, unnest(range(len(v))) AS d FROM a{i} a JOIN x USING (r, part)) GROUP BY ALL) GROUP BY part, entry),
+c{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (part, entry))""")
+    return "WITH " + ",\n".join(ctes) + """,
+h AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, d)) AS h FROM (
+  SELECT part, entry, unnest(v) AS y, unnest(range(len(v))) AS d FROM c4)),
+t AS (SELECT r, string_agg(printf('%02x', k % 256), '' ORDER BY part) AS code, CAST(sum(k // 256) AS BIGINT) AS error FROM a4 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM e JOIN t USING (r), h"""
+
+
+@query("op11_codes", _codes_sql())
+def op11(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    books = codes.fit_codebooks(e)
+    found = checkpointed(codes.encode(e, books).drop("embedding"))
+    text = F.concat(*[F.lower(F.lpad(F.hex(F.col("codes")[p]), 2, "0")) for p in range(codes.PARTS)])
+    return codes.error_by_label(found).select("vec_id", text.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
