@@ -28,8 +28,8 @@ PARTS, ENTRIES, ROUNDS = 4, 256, 4
 #: Largest component after scaling: squared distances over 64 components still fit 64 bits.
 LARGEST = 1 << 27
 #: Candidates whose distances a task works out at one time.
-PAIRS = 1 << 16
-ROWS = 4096
+PAIRS = 1 << 13
+ROWS = 2048
 
 
 class Slices:

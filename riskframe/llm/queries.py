@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import archives, codes, decontaminate, kdtree, language, packing, parity, quality, substrings, token_counts, toxicity
+from riskframe.llm import archives, codes, conversations, decontaminate, kdtree, language, packing, parity, quality, substrings, token_counts, toxicity
 from riskframe.llm.common import checkpointed, held_out, table
 from riskframe.session import scratch_path
 
@@ -191,3 +191,31 @@ def op11(spark, d):
     found = checkpointed(codes.encode(e, books).drop("embedding"))
     text = F.concat(*[F.lower(F.lpad(F.hex(F.col("codes")[p]), 2, "0")) for p in range(codes.PARTS)])
     return codes.error_by_label(found).select("vec_id", text.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+@query("op12_conversations", r"""
+WITH t AS (SELECT conv_id, said, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS i FROM (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL)),
+n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+c AS (SELECT n.conv_id, n.conv_id - n.conv_id % 20 AS base, xor(4294967295, list_reduce(
+    flatten([[CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(CAST(n.conv_id AS VARCHAR), '')]),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295)) % 4 AS h FROM n),
+k AS (SELECT c.*, least(h, coalesce(n.n, 0)) AS k FROM c LEFT JOIN n ON n.conv_id = c.base),
+r AS (SELECT k.conv_id, t.i AS depth, said, words FROM k JOIN t ON t.conv_id = k.base AND t.i <= k.h
+  UNION ALL SELECT k.conv_id, k.k + t.i - k.h, said, words FROM k JOIN t ON t.conv_id = k.conv_id AND t.i > k.h),
+p AS MATERIALIZED (SELECT conv_id, depth, words, string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+l AS (SELECT conv_id, max(depth) AS last FROM p GROUP BY conv_id),
+v AS MATERIALIZED (SELECT path, depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, max(l.last) AS deepest,
+    sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE l.last = depth), '')) AS ends_sha256
+  FROM p JOIN l USING (conv_id) GROUP BY path, depth),
+below AS (SELECT p.path, sum((v.n_convs - 1) * v.words) AS saved, count(*) FILTER (WHERE v.deepest = v.depth) AS leaves,
+    count(*) FILTER (WHERE v.depth = p.depth + 1) AS children
+  FROM v JOIN p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.path)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, children AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN below USING (path) LEFT JOIN v u ON u.depth = v.depth - 1 AND u.path = left(v.path, CAST(32 * (v.depth - 1) AS BIGINT))
+""")
+def op12(spark, d):
+    return conversations.prefix_trie(table(spark, d, "conversations"))
