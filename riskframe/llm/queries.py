@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import archives, codes, conversations, decontaminate, kdtree, language, packing, parity, quality, substrings, token_counts, toxicity
+from riskframe.llm import archives, codes, conversations, decontaminate, kdtree, language, packing, parity, pii, quality, substrings, token_counts, toxicity
 from riskframe.llm.common import checkpointed, held_out, table
 from riskframe.session import scratch_path
 
@@ -219,3 +219,13 @@ FROM v JOIN below USING (path) LEFT JOIN v u ON u.depth = v.depth - 1 AND u.path
 """)
 def op12(spark, d):
     return conversations.prefix_trie(table(spark, d, "conversations"))
+
+
+@query("op13_personal")
+def op13(spark, d):
+    docs = table(spark, d, "documents")
+    found = pii.find_personal(docs.select("doc_id", "text"), pii.fit_personal(docs))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
