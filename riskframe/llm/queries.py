@@ -227,5 +227,5 @@ def op13(spark, d):
     found = pii.find_personal(docs.select("doc_id", "text"), pii.fit_personal(docs))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    number = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
