@@ -11,14 +11,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import tagger
-from riskframe.llm.common import chunks
+from riskframe.llm.common import checkpointed, chunks
 from riskframe.llm.tagger import Tagger, char_classes
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -143,8 +144,8 @@ def added_spans(text: str, labels: np.ndarray, base: list[tuple[str, int, int]])
 
 
 def fit_windows(docs: DataFrame, id_col: str, text_col: str, documents: int, windows: int) -> DataFrame:
-    """(kind, codes, labels): up to ``windows`` different windows around spans of each kind, and twice that
-    many around other digits and signs and at other places (kinds -1 and -2), least hash first."""
+    """(kind, key, codes, labels): the different windows with the least hashes, ``windows`` or a few more, around
+    spans of each kind, and twice as many around other digits and signs and at other places (kinds -1 and -2)."""
     n = docs.count()
     least = -(1 << 63) + min((1 << 64) - 1, int((1 << 64) * min(1.0, documents / max(1, n))))
     some = docs.select(F.col(text_col).alias("t")).where((F.xxhash64(F.col(id_col)) <= least) & F.col(text_col).isNotNull())
@@ -177,15 +178,26 @@ def fit_windows(docs: DataFrame, id_col: str, text_col: str, documents: int, win
             yield pa.RecordBatch.from_arrays([pa.array([kind] * len(keys), pa.int32()), pa.array(keys, pa.binary()),
                                               *(pa.array([group[k][i] for k in keys], pa.binary()) for i in (0, 1))], ["kind", "key", "codes", "labels"])
 
-    found = some.mapInArrow(run, "kind int, key binary, codes binary, labels binary").dropDuplicates(["kind", "key"])
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy("key"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= F.when(F.col("kind") < 0, 2 * windows).otherwise(windows)).drop("rank")
+    found = checkpointed(some.mapInArrow(run, "kind int, key binary, codes binary, labels binary").dropDuplicates(["kind", "key"]))
+    # hashes are spread evenly: a cut at their first byte leaves about as many as are wanted, and no kind is sorted whole
+    byte = F.hex(F.substring("key", 1, 1))
+    counts = {(r["kind"], r["b"]): r["n"] for r in found.groupBy("kind", byte.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 256 a kind
+    below = F.lit(False)
+    for kind in {k for k, _ in counts}:
+        seen, wanted = 0, 2 * windows if kind < 0 else windows
+        for cut in sorted(b for k, b in counts if k == kind):
+            seen += counts[kind, cut]
+            if seen >= wanted:
+                break
+        below |= (F.col("kind") == kind) & (byte <= cut)
+    return found.where(below)
 
 
 def fit_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documents: int = FIT_DOCS, windows: int = FIT_WINDOWS) -> Tagger | None:
     """The network, fitted on at most 8 x ``windows`` windows of ``FIT_WINDOW`` characters of about ``documents``
     documents, labelled by the base patterns. None where these find nothing to learn from."""
-    rows = sorted((r["kind"], bytes(r["key"]), bytes(r["codes"]), bytes(r["labels"])) for r in fit_windows(docs, id_col, text_col, documents, windows).collect())
+    found = sorted((r["kind"], bytes(r["key"]), bytes(r["codes"]), bytes(r["labels"])) for r in fit_windows(docs, id_col, text_col, documents, windows).collect())
+    rows = [x for kind, group in groupby(found, key=lambda r: r[0]) for x in islice(group, 2 * windows if kind < 0 else windows)]
     if not any(kind > 0 for kind, *_ in rows):
         return None
     size = np.array([len(c) for *_, c, _ in rows])
