@@ -2,28 +2,27 @@
 
 Regularisation follows the reference's convention: ``C`` multiplies the
 summed loss, Spark's ``regParam`` the mean-loss penalty, hence
-``regParam = 1 / (C * n)``. The margin classifier re-aims an RBF SVM as
-random Fourier features (Rahimi & Recht, 2007) projected in Arrow batches,
-a linear SVM, and Platt scaling (Platt, 1999) fitted on out-of-fold margins.
+``regParam = 1 / (C * n)``. The margin classifier re-aims a kernel SVM as
+a feature map applied in Arrow batches, a linear machine with squared hinge loss,
+and Platt scaling (Platt, 1999) fitted on out-of-fold margins.
 """
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.session import cut_lineage
+from riskframe.learn import batch
+from riskframe.learn.kernels import KernelMap
 
 MAX_TREE_DEPTH = 30  # Spark refuses deeper trees
 
@@ -95,115 +94,120 @@ def mlp(n_features: int, hidden=(50, 25), max_iter: int = 200, seed: int = 42, l
 
 
 # ---------------------------------------------------------------- E8
-def fourier_features(df: DataFrame, features: str, out: str, n_features: int, n_components: int = 256,
-                     gamma: float = 0.1, seed: int = 42) -> DataFrame:
-    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2*gamma), b ~ U(0, 2pi): an
-    Arrow-batched projection (one matrix product per batch)."""
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(n_features, n_components))
-    b = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
-    scale = np.sqrt(2.0 / n_components)
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def project(xs: pd.Series) -> pd.Series:
-        if len(xs) == 0:
-            return pd.Series([], dtype=object)
-        X = np.stack(xs.to_numpy())
-        Z = scale * np.cos(X @ W + b)
-        return pd.Series(list(Z))
-
-    return df.withColumn(out, array_to_vector(project(vector_to_array(F.col(features)))))
-
-
 def kernel_width(value):
     return value if value in ("scale", "auto") else TypeConverters.toFloat(value)
 
 
-def width_of(gamma: float | str, train: DataFrame, features: str, n_features: int) -> float:
+def width(gamma: float | str, spread: float, n_features: int) -> float:
     """``gamma`` itself; "auto" is 1 / features, "scale" 1 / (features * variance of all entries)."""
     if gamma == "auto":
         return 1.0 / n_features
     if gamma != "scale":
-        return gamma
-    v, zero = vector_to_array(F.col(features)), F.lit(0.0)
-    m = train.select(F.aggregate(v, zero, lambda a, x: a + x).alias("s"), F.aggregate(v, zero, lambda a, x: a + x * x).alias("q"))
-    m = m.agg(F.avg("s").alias("s"), F.avg("q").alias("q")).first()
-    spread = m["q"] / n_features - (m["s"] / n_features) ** 2
+        return float(gamma)
     return 1.0 / (n_features * spread) if spread > 0 else 1.0
 
 
-class MarginClassifierModel(Model):
-    """Fitted E8: projection parameters, linear SVM and Platt sigmoid."""
+def landmarks(rows: DataFrame, n: int) -> np.ndarray:
+    """The ``n`` rows of a ``batch.table`` with the least hash, equal ones once."""
+    found = rows.select("x").distinct().orderBy(F.xxhash64("x"), "x").limit(n).collect()
+    return np.array([r["x"] for r in found], float)
+
 
-    def __init__(self, svc_model=None, a: float = 1.0, b: float = 0.0, params: dict | None = None):
+class MarginClassifierModel(Model, MLWritable, MLReadable):
+    """Fitted E8: feature map, weights (the last is the intercept) and Platt sigmoid."""
+
+    def __init__(self, kernel: KernelMap | None = None, weights: np.ndarray | None = None, a: float = 1.0, b: float = 0.0, features: str = "features"):
         super().__init__()
-        self.svc_model, self.a, self.b, self.params_ = svc_model, a, b, params or {}
+        self.kernel, self.weights, self.a, self.b, self.features = kernel, weights, a, b, features
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        p = self.params_
-        z = fourier_features(df, p["features"], "_rff", p["n_features"], p["n_components"], p["gamma"], p["seed"])
-        s = self.svc_model.transform(z).withColumn("margin", vector_to_array("rawPrediction")[1])
+        kernel, weights = self.kernel, self.weights
+
+        @F.pandas_udf(T.DoubleType())
+        def margin(xs: pd.Series) -> pd.Series:
+            if len(xs) == 0:
+                return pd.Series([], dtype=float)
+            return pd.Series(kernel.of(np.stack(xs.to_numpy())) @ weights[:-1] + weights[-1])
+
         prob1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(self.a) * F.col("margin") + F.lit(self.b))))
-        return (s.drop("_rff", "rawPrediction")
+        return (df.withColumn("margin", margin(vector_to_array(F.col(self.features))))
                 .withColumn("prob1", prob1)
                 .withColumn("probability", array_to_vector(F.array(1 - F.col("prob1"), F.col("prob1"))))
                 .withColumn("rawPrediction", array_to_vector(F.array(-F.col("margin"), F.col("margin"))))
                 .withColumn("prediction", (F.col("prob1") >= 0.5).cast("double")).drop("prob1"))
 
-    def save(self, path: str) -> None:
-        """The SVM as Spark stores it, and the few numbers beside it as a JSON row."""
-        self.svc_model.write().overwrite().save(f"{path}/svm")
-        row = {"a": self.a, "b": self.b} | self.params_
-        spark = SparkSession.active()
-        spark.createDataFrame([(json.dumps(row),)], "value string").write.mode("overwrite").text(f"{path}/margin")
+    def write(self) -> MLWriter:
+        return MarginWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return MarginReader(cls)
+
+
+class MarginWriter(MLWriter):
+    """Spark ML's stage format: all of the model is a few numbers, which go into the metadata."""
+
+    def __init__(self, model: MarginClassifierModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:  # noqa: N802
+        m = self.model
+        extra = {"kernel": m.kernel.settings(), "weights": m.weights.tolist(), "a": m.a, "b": m.b, "features": m.features}
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata=extra)
+
+
+class MarginReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
 
-    @staticmethod
-    def load(path: str) -> MarginClassifierModel:
-        row = json.loads(SparkSession.active().read.text(f"{path}/margin").first()["value"])
-        return MarginClassifierModel(LinearSVCModel.load(f"{path}/svm"), row.pop("a"), row.pop("b"), row)
+    def load(self, path: str) -> MarginClassifierModel:
+        m = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = self.cls(KernelMap.made(m["kernel"]), np.array(m["weights"], float), m["a"], m["b"], m["features"])
+        model._resetUid(m["uid"])
+        return model
 
 
 class MarginClassifier(Estimator):
-    """RFF + LinearSVC, with Platt scaling learned on out-of-fold margins. As an
-    Estimator it fits into pipelines, cross-validation and sweeps; ``C`` and ``gamma``
-    are parameters of a grid.
+    """A kernel's feature map (see ``kernels``), a linear machine with squared hinge loss, and Platt
+    scaling learned on out-of-fold margins. As an Estimator it fits into pipelines, cross-validation and
+    sweeps; ``C``, ``gamma`` and ``kernel`` are parameters of a grid.
 
-    Folds are dealt by ``key``, or where there is none by a hash of the features. Spark
-    numbers no rows, so without a key equal rows share a fold. Without ``n_features`` the
-    first row tells the length of the vectors. ``gamma`` may be "scale" or "auto"."""
+    The fits of all folds and of the whole share one pass of the table per iteration. Folds are dealt by
+    ``key``, or where there is none by a hash of the features. Spark numbers no rows, so without a key
+    equal rows share a fold. ``gamma`` may be "scale" or "auto"."""
 
     C = Param(Params._dummy(), "C", "weight of the summed loss", TypeConverters.toFloat)
     gamma = Param(Params._dummy(), "gamma", "width of the kernel", kernel_width)
+    kernel = Param(Params._dummy(), "kernel", "rbf, poly or sigmoid", TypeConverters.toString)
 
     def __init__(self, n_features: int | None = None, label: str = "label", features: str = "features", C: float = 1.0, gamma: float | str = 0.1,
-                 n_components: int = 256, folds: int = 3, key: str | None = None, seed: int = 42, max_iter: int = 100):
+                 n_components: int = 256, folds: int = 3, key: str | None = None, seed: int = 42, max_iter: int = 100, kernel: str = "rbf"):
         super().__init__()
         self.label, self.features, self.key = label, features, key
         self.n_features, self.n_components, self.folds, self.seed, self.max_iter = n_features, n_components, folds, seed, max_iter
-        self._setDefault(C=1.0, gamma=0.1)
-        self._set(C=C, gamma=gamma)
+        self._setDefault(C=1.0, gamma=0.1, kernel="rbf")
+        self._set(C=C, gamma=gamma, kernel=kernel)
 
     def _fit(self, train: DataFrame) -> MarginClassifierModel:
-        size = self.n_features or train.select(self.features).first()[0].size
-        params = dict(features=self.features, n_features=size, n_components=self.n_components,
-                      gamma=width_of(self.getOrDefault("gamma"), train, self.features, size), seed=self.seed)
-        z = fourier_features(train, self.features, "_rff", size, self.n_components, params["gamma"], self.seed)
-        fold = (F.pmod(F.xxhash64(F.col(self.key) if self.key else vector_to_array(self.features), F.lit(self.seed)), F.lit(self.folds)))
-        # the projection runs once; every fold's fit reads the written table
-        z = cut_lineage(z.select(F.col(self.label).alias("y"), "_rff", fold.alias("fold")))
-        n = z.count()
-        svc = LinearSVC(labelCol="y", featuresCol="_rff", regParam=1.0 / (self.getOrDefault("C") * max(1, n)), maxIter=self.max_iter)
-        parts = None
-        for f in range(self.folds if self.folds > 1 else 0):
-            m = svc.fit(z.where(F.col("fold") != f))
-            part = m.transform(z.where(F.col("fold") == f)).select("y", vector_to_array("rawPrediction")[1].alias("margin"))
-            parts = part if parts is None else parts.unionByName(part)
-        model = svc.fit(z)
-        if parts is None:
-            parts = model.transform(z).select("y", vector_to_array("rawPrediction")[1].alias("margin"))
-        platt = LogisticRegression(labelCol="y", featuresCol="m", regParam=0.0).fit(
-            parts.withColumn("m", array_to_vector(F.array("margin"))))
-        return MarginClassifierModel(model, float(platt.coefficients[0]), float(platt.intercept), params)
+        fold = F.pmod(F.xxhash64(F.col(self.key) if self.key else vector_to_array(self.features), F.lit(self.seed)), F.lit(max(1, self.folds)))
+        rows = batch.written(batch.table(train.select(self.features, self.label, fold.alias("_fold")), self.features, self.label, "_fold"))
+        split = [None, *(range(self.folds) if self.folds > 1 else ())]
+        plain, counts, spread = batch.fold_views(rows, split, scaled=0)
+        size = len(plain[0].shift)
+        marks = landmarks(rows, self.n_components) if self.getOrDefault("kernel") == "sigmoid" else None
+        kernel = KernelMap(self.getOrDefault("kernel"), size, self.n_components, width(self.getOrDefault("gamma"), spread[0], size), self.seed, marks)
+        view = batch.View(np.zeros(size), np.ones(size), kernel.of)
+        problems = [batch.Problem(1.0 / (self.getOrDefault("C") * max(1, counts[0])), 0, f, "squared_hinge") for f in split]
+        views = [view]
+        batch.solve(rows, problems, views, counts, max_iter=self.max_iter)
+        seen = batch.left_out_scores(rows, problems, views) if self.folds > 1 else batch.left_out_scores(rows.withColumn("fold", F.lit(0)), [batch.Problem(0.0, 0, 0, weights=problems[0].weights)], views)
+        platt = batch.Problem(0.0)
+        margins = batch.written(seen.select(F.array("score").alias("x"), F.col("label").cast("double").alias("y"), F.lit(-1).alias("fold")))
+        batch.solve(margins, [platt], [batch.View(np.zeros(1), np.ones(1))], [max(1, margins.count())])
+        a, b = (1.0, 0.0) if platt.weights is None else platt.weights
+        return MarginClassifierModel(kernel, problems[0].weights, float(a), float(b), self.features)
 
 
 def fit_margin_classifier(train: DataFrame, n_features: int, **settings) -> MarginClassifierModel:

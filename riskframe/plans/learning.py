@@ -8,7 +8,7 @@ times, and a lost executor then rereads it instead of the whole lineage)."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions import features as FX
@@ -17,6 +17,7 @@ from riskframe.learn import importance as IM
 from riskframe.learn import models as MD
 from riskframe.learn import pca as PCA_
 from riskframe.learn import prep as PP
+from riskframe.learn import trees as TR
 from riskframe.learn import tuning as TU
 from riskframe.operators import metrics as M
 from riskframe.operators import report as RP
@@ -24,9 +25,11 @@ from riskframe.operators.quality import engineer_features, prepare_split
 from riskframe.operators.ranking import components_for, top_features, top_loadings
 from riskframe.operators.sampling import kfold, stratified_kfold, stratified_split
 from riskframe.plans.registry import query, tb
-from riskframe.session import cut_lineage
+from riskframe.session import cut_lineage, scratch_path
+from riskframe.sources import io as IO
 from riskframe.sources.generate import CATEGORICAL, patients_from
 
+# The record table's numeric inputs.
 NUMERIC = ["age", "height_cm", "weight_kg", "family_history_cancer", "diabetes", "hypertension", "asthma",
            "cardiac_disease", "prior_radiation_exposure", "unexplained_weight_loss", "persistent_fatigue",
            "chronic_pain", "abnormal_bleeding", "persistent_cough", "lump_presence", "hemoglobin_level",
@@ -70,48 +73,63 @@ def _metrics_df(spark, rows):
 
 #: Iterations that a fit may take, as in the reference; it ends before by tolerance.
 MAX_ITER = 1000
-#: The reference's grids. Draws of 50 where a grid has over 100 combinations.
+# The grids of the comparison. Draws of 50 where a grid has over 100 combinations.
 GRIDS = {
     "Logistic Regression": {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l2"], "solver": ["lbfgs", "liblinear"],
                             "max_iter": [1000, 2000]},
     "Random Forest": {"n_estimators": [100, 200, 300, 500], "max_depth": [None, 10, 20, 30, 50],
                       "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],
                       "max_features": ["sqrt", "log2"], "bootstrap": [True, False]},
-    "SVM": {"C": [0.1, 1.0, 10.0, 100.0], "kernel": ["rbf"], "gamma": ["scale", "auto", 0.01, 0.1, 1.0]},
+    "SVM": {"C": [0.1, 1.0, 10.0, 100.0], "kernel": ["rbf", "poly", "sigmoid"], "gamma": ["scale", "auto", 0.01, 0.1, 1.0]},
     "Gradient Boosting": {"n_estimators": [100, 200, 300], "learning_rate": [0.01, 0.05, 0.1, 0.2], "max_depth": [3, 5, 7, 10],
                           "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4], "subsample": [0.8, 0.9, 1.0]},
 }
 
 
+def forest(trees=200, max_depth=None, min_split=2, min_leaf=1, subset="sqrt", bootstrap=True, features="features"):
+    return TR.HistogramForest(trees, TR.Growth(max_depth, min_split, min_leaf, subset), bootstrap, features=features)
+
+
+def boosting(rounds=100, rate=0.1, max_depth=3, min_split=2, min_leaf=1, subsample=1.0, features="features"):
+    return TR.HistogramBoosting(rounds, rate, TR.Growth(max_depth, min_split, min_leaf), subsample, features=features)
+
+
 def four_models(n):
-    """The reference's four models, unfitted, for n training rows."""
+    """The four models of the comparison, unfitted, for n training rows."""
     return {"Logistic Regression": MD.logistic(1.0, "l2", n_rows=n, max_iter=MAX_ITER),
-            "Random Forest": MD.random_forest(200, None),
+            "Random Forest": forest(),
             "SVM": MD.MarginClassifier(gamma="scale", max_iter=MAX_ITER),
-            "Gradient Boosting": MD.gradient_boosting(100, 0.1, 3)}
+            "Gradient Boosting": boosting()}
 
 
 def candidate(name, c, n):
-    """The estimator of a combination ``c`` of ``GRIDS[name]``. Spark's trees end at depth 30
-    and have no least size of a node to split."""
+    """The estimator of a combination ``c`` of ``GRIDS[name]``."""
     if name == "Logistic Regression":
         return MD.logistic(c["C"], c["penalty"], n_rows=n, max_iter=c["max_iter"], solver=c["solver"])
     if name == "SVM":
-        return MD.MarginClassifier(C=c["C"], gamma=c["gamma"], max_iter=MAX_ITER)
+        return MD.MarginClassifier(C=c["C"], gamma=c["gamma"], kernel=c["kernel"], max_iter=MAX_ITER)
     if name == "Random Forest":
-        return MD.random_forest(c["n_estimators"], min(c["max_depth"] or MD.MAX_TREE_DEPTH, MD.MAX_TREE_DEPTH),
-                                c["max_features"], c["bootstrap"], c["min_samples_leaf"])
-    return MD.gradient_boosting(c["n_estimators"], c["learning_rate"], c["max_depth"], c["subsample"], c["min_samples_leaf"])
+        return forest(c["n_estimators"], c["max_depth"], c["min_samples_split"], c["min_samples_leaf"], c["max_features"], c["bootstrap"])
+    return boosting(c["n_estimators"], c["learning_rate"], c["max_depth"], c["min_samples_split"], c["min_samples_leaf"], c["subsample"])
 
 
 @query("evaluate_models_patients")
 def q_evaluate_models_patients(spark, d):
     """Four models, one fit and one scoring each."""
-    df = patient_split(spark, d)
-    tr, te = _train_test(df)
+    return evaluated(spark, patient_split(spark, d), NUMERIC, CATS)
+
+
+@query("evaluate_models_documents")
+def q_evaluate_models_documents(spark, d):
+    """The same on real labels, of the quality of texts."""
+    return evaluated(spark, stratified_split(labelled_texts(spark, d), "label", 0.2, "doc_id", 42), TEXT_NUMERIC, TEXT_CATS)
+
+
+def evaluated(spark, df, numeric, cats):
+    tr, te = _train_test(cut_lineage(df))
     cands = four_models(tr.count())
     # one preprocessor fit and one transform of each side, shared by all models
-    _, rows = EV.evaluate_models(cands, Pipeline(stages=PP.preprocessor_stages(NUMERIC, CATS)), tr, te)
+    _, rows = EV.evaluate_models(cands, Pipeline(stages=PP.preprocessor_stages(numeric, cats)), tr, te)
     res = spark.createDataFrame([(r["model"], r["position"], r["accuracy"], r["f1"], r["roc_auc"]) for r in rows],
                                 "model string, position int, accuracy double, f1 double, roc_auc double")
     best = EV.select_best(res).select(F.col("model").alias("best_model"))
@@ -128,19 +146,59 @@ def q_kfold_logistic_patients(spark, d):
     return M.cv_summary(folds, "model", ["accuracy", "precision", "recall", "f1", "roc_auc"])
 
 
-@query("tuning_patients")
-def q_tuning_patients(spark, d):
+TEXT_NUMERIC, TEXT_CATS = ["n_chars", "n_words", "word_length", "letters", "marks", "digits"], ["lang", "source"]
+
+
+def labelled_texts(spark, d):
+    """Documents with a quality label, their length and the shares of kinds of characters."""
+    size = F.greatest(F.char_length("text"), F.lit(1))
+    share = lambda pattern: F.regexp_count("text", F.lit(pattern)) / size
+    docs = tb(spark, d, "documents").where("text IS NOT NULL").select(
+        "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), F.char_length("text").cast("double").alias("n_chars"),
+        F.regexp_count("text", F.lit(r"\S+")).cast("double").alias("n_words"), (F.char_length("text") / F.greatest(F.regexp_count("text", F.lit(r"\S+")), F.lit(1))).alias("word_length"),
+        share(r"\p{L}").alias("letters"), share(r"\p{Punct}").alias("marks"), share("[0-9]").alias("digits"))
+    labels = tb(spark, d, "labels").where("quality IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("label"))
+    return cut_lineage(docs.join(labels, "doc_id"))
+
+
+@query("tuning_documents")
+def q_tuning_documents(spark, d):
     """Four models over the whole grids (logistic, margin) or 50 draws (forest,
     boosting) with stratified 5-fold CV on a fold column, then baseline-vs-tuned."""
-    df = patient_split(spark, d)
-    tr, te = _train_test(df)
-    tr = cut_lineage(stratified_kfold(tr, "label", 5, "patient_id", 42))
-    pre = PP.preprocessor_stages(NUMERIC, CATS)
-    rows = []
-    for name, base in four_models(tr.count()).items():
-        model, best, cv = TU.search(lambda c, n: candidate(name, c, n), GRIDS[name], Pipeline(stages=pre), tr)  # noqa: B023  called here only
-        rows.append(TU.compare_tuning(name, Pipeline(stages=[*pre, base]), model, cv, best, tr, te))
-    return spark.createDataFrame(rows)
+    tr, te = _train_test(cut_lineage(stratified_split(labelled_texts(spark, d), "label", 0.2, "doc_id", 42)))
+    tr = cut_lineage(stratified_kfold(tr, "label", 5, "doc_id", 42))
+    raw, pre = Pipeline(stages=PP.preprocessor_stages(TEXT_NUMERIC, TEXT_CATS, scale=False)), PP.preprocessor_stages(TEXT_NUMERIC, TEXT_CATS)
+    rows, _ = TU.indexed(raw, tr, "fold", "label", len(TEXT_NUMERIC))
+    n = tr.count()
+    out = []
+    for name, base in four_models(n).items():
+        if name == "Logistic Regression":
+            best, cv, _ = TU.search_linear(GRIDS[name], rows, len(TEXT_NUMERIC))
+        elif name == "SVM":
+            best, cv = TU.search_margin(GRIDS[name], rows, len(TEXT_NUMERIC))
+        else:
+            best, cv = TU.search_trees(lambda c: candidate(name, c, n), GRIDS[name], rows)  # noqa: B023  called here only
+        model = Pipeline(stages=[*pre, candidate(name, best, n)]).fit(tr)
+        out.append(TU.compare_tuning(name, Pipeline(stages=[*pre, base]), model, cv, best, tr, te))
+    return spark.createDataFrame(out)
+
+
+@query("stored_models_documents", """
+WITH m(model) AS (VALUES ('Logistic Regression'), ('Random Forest'), ('SVM'), ('Gradient Boosting'))
+SELECT doc_id, model, true AS same FROM documents JOIN labels USING (doc_id), m WHERE text IS NOT NULL AND quality IS NOT NULL""")
+def q_stored_models_documents(spark, d):
+    """Four fitted pipelines are saved, loaded and score every row as before."""
+    df = labelled_texts(spark, d)
+    models = {name: PP.pipeline(TEXT_NUMERIC, TEXT_CATS, est).fit(df) for name, est in four_models(df.count()).items()}
+    path = scratch_path(spark, "models")
+    IO.save_models(models, path, best="SVM")
+    out = None
+    for name, m in models.items():
+        score = lambda fitted, col: fitted.transform(df).select("doc_id", F.round(vector_to_array("probability")[1], 9).alias(col))
+        both = score(m, "a").join(score(IO.load_model(path, [name]), "b"), "doc_id")
+        part = both.select("doc_id", F.lit(name).alias("model"), (F.col("a") == F.col("b")).alias("same"))
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 @query("regularization_patients")
@@ -173,7 +231,7 @@ def q_feature_importance_patients(spark, d):
     """Tree importances with encoded feature names, top 10."""
     df = patient_split(spark, d)
     tr, _ = _train_test(df)
-    model = PP.pipeline(NUMERIC, CATS, MD.gradient_boosting(20, 0.1, 3)).fit(tr)
+    model = PP.pipeline(NUMERIC, CATS, boosting()).fit(tr)
     names = PP.feature_names(model, NUMERIC, CATS)
     return top_features(IM.feature_importance(spark, model.stages[-1], names), 10, "importance", "feature")
 
@@ -206,8 +264,8 @@ def q_compare_pca_embeddings(spark, d):
     k = components_for(PCA_.scree(spark, model), 0.95).first()["n_components"]
     n = tr.count()
     ests = {"Logistic Regression": lambda f: MD.logistic(1.0, "l2", n_rows=n, max_iter=MAX_ITER, features=f),
-            "Random Forest": lambda f: MD.random_forest(100, None, features=f),
-            "Gradient Boosting": lambda f: MD.gradient_boosting(100, 0.1, 3, features=f)}
+            "Random Forest": lambda f: forest(100, features=f),
+            "Gradient Boosting": lambda f: boosting(features=f)}
     return spark.createDataFrame(PCA_.compare_pca(ests, tr, te, model, int(k)))
 
 
@@ -242,26 +300,18 @@ def q_mlp_embeddings(spark, d):
 @query("validation_curve_documents")
 def q_validation_curve_documents(spark, d):
     """E21 + F14: train/CV accuracy over C = 10^-3 .. 10^3 (10 values)."""
-    docs = cut_lineage(stratified_kfold(documents_frame(spark, d), "label", 5, "doc_id", 42))
-    n = docs.count()
+    docs = stratified_kfold(documents_frame(spark, d), "label", 5, "doc_id", 42)
     values = spark.range(1).select(FX.logspace(-3, 3, 10).alias("v")).first()["v"]
-
-    def make(c):
-        return PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.logistic(float(c), "l2", n_rows=n, max_iter=MAX_ITER))
-    return spark.createDataFrame(TU.validation_curve(make, values, docs))
+    rows, _ = TU.indexed(Pipeline(stages=PP.preprocessor_stages(["n_chars", "n_words"], ["lang", "source"], scale=False)), docs, "fold", "label", 2)
+    return spark.createDataFrame(TU.validation_curve(values, rows, 2))
 
 
 @query("sweep_documents")
 def q_sweep_documents(spark, d):
-    """train/test accuracy per regularisation strength, fits submitted
-    concurrently."""
-    docs = stratified_split(documents_frame(spark, d), "label", 0.2, "doc_id", 42)
-    tr, te = _train_test(docs)
-    n = tr.count()
-
-    def make(c):
-        return PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.logistic(float(c), "l2", n_rows=n, max_iter=MAX_ITER))
-    return spark.createDataFrame(TU.sweep(make, [0.001, 0.01, 0.1, 1.0, 10.0, 100.0], tr, te))
+    """train/test accuracy per regularisation strength, all fits in shared passes."""
+    docs = stratified_split(documents_frame(spark, d), "label", 0.2, "doc_id", 42).withColumn("fold", (F.col("split") == "train").cast("int"))
+    rows, _ = TU.indexed(Pipeline(stages=PP.preprocessor_stages(["n_chars", "n_words"], ["lang", "source"], scale=False)), docs, "fold", "label", 2)
+    return spark.createDataFrame(TU.sweep_logistic([0.001, 0.01, 0.1, 1.0, 10.0, 100.0], rows, 2))
 
 
 @query("permutation_importance_documents")
@@ -269,7 +319,7 @@ def q_permutation_importance_documents(spark, d):
     """E25 + D9: accuracy drop per raw input column."""
     docs = stratified_split(documents_frame(spark, d), "label", 0.2, "doc_id", 42)
     tr, te = _train_test(docs)
-    model = PP.pipeline(["n_chars", "n_words"], ["lang", "source"], MD.random_forest(20, 5)).fit(tr)
+    model = PP.pipeline(["n_chars", "n_words"], ["lang", "source"], forest()).fit(tr)
     return IM.permutation_importance(model, te, ["n_chars", "n_words", "lang", "source"], "doc_id", repeats=10)
 
 
@@ -278,7 +328,7 @@ def q_analyze_model_patients(spark, d):
     """E28 + A14: metric table of a fitted model on the held-out rows."""
     df = patient_split(spark, d)
     tr, te = _train_test(df)
-    model = PP.pipeline(NUMERIC, CATS, MD.gradient_boosting(20, 0.1, 3)).fit(tr)
+    model = PP.pipeline(NUMERIC, CATS, boosting()).fit(tr)
     a = RP.analyze_model(EV.scored(model.transform(te)))
     return a["metrics"]
 
@@ -288,7 +338,7 @@ def q_threshold_table_patients(spark, d):
     """Threshold comparison of a fitted model on the held-out rows."""
     df = patient_split(spark, d)
     tr, te = _train_test(df)
-    model = PP.pipeline(NUMERIC, CATS, MD.gradient_boosting(20, 0.1, 3)).fit(tr)
+    model = PP.pipeline(NUMERIC, CATS, boosting()).fit(tr)
     return RP.threshold_table(EV.scored(model.transform(te)))
 
 
@@ -296,11 +346,9 @@ def q_threshold_table_patients(spark, d):
 def q_prediction_report_patients(spark, d):
     """E30 + S6/S7: save the model, load it back (fallback order), report on
     every row (training rows included, as the reference's report does)."""
-    from riskframe.session import scratch_path
-    from riskframe.sources import io as IO
     df = patient_split(spark, d)
     tr, _ = _train_test(df)
-    model = PP.pipeline(NUMERIC, CATS, MD.gradient_boosting(20, 0.1, 3)).fit(tr)
+    model = PP.pipeline(NUMERIC, CATS, boosting()).fit(tr)
     path = scratch_path(spark, "models")
     IO.save_models({"Gradient Boosting": model}, path, best="Gradient Boosting")
     loaded = IO.load_model(path, ["Gradient Boosting", "best_model"])

@@ -21,7 +21,7 @@ from riskframe.streaming.score_stream import score_stream
 def q_score_stream_patients(spark, d):
     df = patient_split(spark, d)
     tr, te = _train_test(df)
-    model = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=tr.count(), max_iter=30)).fit(tr)
+    model = PP.pipeline(NUMERIC, CATS, MD.logistic(1.0, "l2", n_rows=tr.count(), max_iter=1000)).fit(tr)
     raw = [c for c in patients_from(tb(spark, d, "orders").limit(0), "o_orderkey").columns if c != "cancer"]
     src = scratch_path(spark, "stream_in")
     records = te.select(*raw)

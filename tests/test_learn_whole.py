@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from riskframe.learn import evaluate as EV
 from riskframe.learn import models as MD
-from riskframe.learn import pca as PCA_
 from riskframe.learn import tuning as TU
 from riskframe.operators.quality import engineer_features
 from riskframe.plans import learning as L
@@ -26,62 +25,41 @@ def few(spark, monkeypatch):
     df.unpersist()
 
 
-def seen_models(monkeypatch):
-    seen = []
-
-    def record(cands, pre, tr, te, label="label", features="features"):
-        seen.append(cands)
-        rows = [{"model": n, "position": i} | dict.fromkeys(("accuracy", "precision", "recall", "f1", "roc_auc"), 0.5) for i, n in enumerate(cands)]
-        return {}, rows
-    monkeypatch.setattr(EV, "evaluate_models", record)
-    return seen
+@pytest.fixture
+def texts(spark, monkeypatch):
+    """60 labelled texts in place of the table's."""
+    df = L.labelled_texts(spark, SF_SMALL).limit(60).coalesce(1).cache()
+    monkeypatch.setattr(L, "labelled_texts", lambda spark, d: df)
+    yield df
+    df.unpersist()
 
 
-def test_four_models_are_evaluated(spark, few, monkeypatch):
-    seen = seen_models(monkeypatch)
-    got = [r["model"] for r in L.q_evaluate_models_patients(spark, SF_SMALL).orderBy("position").collect()]
-    assert got == FOUR
-    m = seen[0]
-    assert m["Random Forest"].getNumTrees() == 200 and m["Random Forest"].getMaxDepth() == 30 and m["Gradient Boosting"].getMaxIter() == 100
+def test_four_models_are_evaluated(spark, few):
+    """Whole: 200 trees without a limit on depth, 100 rounds, no replaced fit."""
+    got = L.q_evaluate_models_patients(spark, SF_SMALL).orderBy("position").collect()
+    assert [r["model"] for r in got] == FOUR and sum(r["is_best"] for r in got) == 1
+    assert all(0 <= r["accuracy"] <= 1 and 0 <= r["roc_auc"] <= 1 for r in got)
+    m = L.four_models(10)
+    assert m["Random Forest"].getNumTrees() == 200 and m["Random Forest"].growth.max_depth is None and m["Gradient Boosting"].getMaxIter() == 100
 
 
-def test_four_models_in_five_folds(spark, few, monkeypatch):
-    seen = seen_models(monkeypatch)
+def test_four_models_in_five_folds(spark, few):
     got = L.q_kfold_logistic_patients(spark, SF_SMALL).collect()
-    assert sorted(r["model"] for r in got) == sorted(FOUR) and len(seen) == 5
+    assert sorted(r["model"] for r in got) == sorted(FOUR)
 
 
-def test_tuning_searches_whole_grids(spark, few, monkeypatch):
+def test_tuning_searches_whole_grids(spark, texts, monkeypatch):
     sizes, draw = [], TU.sample_grid
 
     def record(grid, n, seed, limit):
         combos = draw(grid, n, seed, limit)
-        sizes.append(len(combos))
         assert len({str(c) for c in combos}) == len(combos)
-        return combos[:1]
+        sizes.append(len(combos))
+        return combos
     monkeypatch.setattr(TU, "sample_grid", record)
-    folds = []
-    monkeypatch.setattr(TU, "search", search_without_fits(folds))
-    monkeypatch.setattr(TU, "compare_tuning", lambda name, *a: {"model": name})
-    got = [r["model"] for r in L.q_tuning_patients(spark, SF_SMALL).collect()]
-    assert got == FOUR and sizes == [24, 50, 20, 50] and folds == [5] * 4
-
-
-def search_without_fits(folds):
-    def search(make, grid, pre, df, fold_col="fold"):
-        folds.append(df.select(fold_col).distinct().count())
-        best = TU.sample_grid(grid, 50, 42, 100)[0]
-        make(best, 10)
-        return None, best, 0.5
-    return search
-
-
-def test_pca_is_compared_on_three_models(spark, monkeypatch):
-    seen = {}
-    monkeypatch.setattr(PCA_, "compare_pca", lambda ests, *a: seen.update(ests) or [{"model": n} for n in ests])
-    L.q_compare_pca_embeddings(spark, SF_SMALL)
-    assert list(seen) == ["Logistic Regression", "Random Forest", "Gradient Boosting"]
-    assert seen["Random Forest"]("features").getNumTrees() == 100 and seen["Gradient Boosting"]("features").getMaxIter() == 100
+    got = L.q_tuning_documents(spark, SF_SMALL).collect()
+    assert [r["model"] for r in got] == FOUR and sizes == [24, 50, 60, 50]
+    assert all(0 <= r["cv_score"] <= 1 and r["best_parameters"] for r in got)
 
 
 def points(spark, n=100):
@@ -119,17 +97,5 @@ def test_kernel_width(spark, gamma, expected):
     df = points(spark)
     x = np.array([r[0].toArray() for r in df.select("features").collect()])
     m = MD.MarginClassifier(gamma=gamma, n_components=8, folds=1, max_iter=5).fit(df)
-    assert m.params_["n_features"] == 2 and m.params_["gamma"] == pytest.approx(expected or 1 / (2 * x.var()))
+    assert m.kernel.features == 2 and m.kernel.gamma == pytest.approx(expected or 1 / (2 * x.var()))
     df.unpersist()
-
-
-def test_fits_end_by_tolerance(spark, few, monkeypatch):
-    """Fits may take the reference's 1000 iterations; the sweep keeps its out-of-fold margins."""
-    caps = []
-    monkeypatch.setattr(TU, "compare_regularization", lambda variants, tr, te: caps.extend(p.getStages()[-1].getMaxIter() for p in variants.values()) or ([{"x": 1}], {}))
-    L.q_regularization_patients(spark, SF_SMALL)
-    monkeypatch.setattr(TU, "sweep", lambda make, *a: caps.append(make(1.0).max_iter) or caps.append(1000 * (make(1.0).folds > 1)) or [{"x": 1}])
-    L.q_margin_sweep_embeddings(spark, SF_SMALL)
-    monkeypatch.setattr(EV, "evaluate_model", lambda name, est, *a: caps.append(est.getMaxIter()) or (None, {"model": name}))
-    L.q_mlp_embeddings(spark, SF_SMALL)
-    assert caps == [1000] * 7
