@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,57 +79,109 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(give: list[int], take: list[int], size: list[int], gap: int) -> tuple[list[int], list[int]] | None:
-    """What to pass from ``give`` to ``take`` and back, so that ``take`` gains most within its gap."""
-    best, found = 0, None
-    ones = [[i] for i in give]
-    twos = [[i, j] for x, i in enumerate(give) for j in give[x + 1 :]] if len(give) <= 48 else []
-    back = [[]] + [[i] for i in take]
-    both = [[i, j] for x, i in enumerate(take) for j in take[x + 1 :]] if len(take) <= 48 else []
-    for out, backs in ((ones, back + both), (twos, back[1:])):
-        for o in out:
-            a = sum(size[i] for i in o)
-            for k in backs:
-                gain = a - sum(size[i] for i in k)
-                if best < gain <= gap:
-                    best, found = gain, (o, k)
-                    if best == gap:
-                        return found
-    return found
-
-
-def improve(bins: list[list[int]], size: list[int], capacity: int, rounds: int = 8) -> list[list[int]]:
-    """Moves and swaps between underfull bins that raise the sum of squared fills.
-
-    Each round empties from the least filled bins into fuller ones: one piece over,
-    one for one, two for one or one for two. Every step moves length from the
-    emptier to the fuller bin, so the sum of squares rises and the search ends.
+class _Open:
+    """The underfull bins of a shard, with tables that find what a bin can give back.
+
+    ``one[a, x]`` is the least of 0 and the lengths in bin a that is x or more, ``two[a, x]`` the least sum
+    of two of its pieces; ``capacity + 1`` stands for none. So for a length s coming in, the
+    exchange that fills bin a most is one lookup at s less its gap, whatever the number of pieces.
+    """
+
+    def __init__(self, bins: list[list[int]], size: list[int], capacity: int):
+        self.bins, self.size, self.capacity = bins, size, capacity
+        self.fill = np.array([sum(size[i] for i in x) for x in bins], np.int64)
+        self.one = np.full((len(bins), capacity + 2), capacity + 1, np.int16)
+        self.two = self.one.copy()
+        for a in range(len(bins)):
+            if self.fill[a] < capacity:
+                self.note(a)
+
+    def sums(self, a: int) -> tuple[np.ndarray, np.ndarray]:
+        """The different lengths in a bin, and the different sums of two of its pieces."""
+        n = np.sort(np.array([self.size[i] for i in self.bins[a]], np.int64))
+        own = np.unique(n)
+        both = np.zeros(self.capacity + 1, bool)
+        for v in own.tolist():
+            both[(own + v)[(own != v) | (np.searchsorted(n, v, "right") - np.searchsorted(n, v) > 1)]] = True
+        return own, np.flatnonzero(both)
+
+    def note(self, a: int) -> None:
+        for table, held in zip((self.one, self.two), self.sums(a), strict=True):
+            row = np.full(self.capacity + 2, self.capacity + 1, np.int16)
+            row[held] = held
+            if table is self.one:
+                row[0] = 0
+            table[a] = np.minimum.accumulate(row[::-1])[::-1]
+
+    def step(self, b: int) -> bool:
+        """Takes from bin b, for a bin at least as full, what raises the squared fills most; one piece over, one for
+        one, two for one or one for two. A step that closes a bin goes first. False if there is none."""
+        others = np.flatnonzero((self.fill >= self.fill[b]) & (self.fill < self.capacity))
+        others = others[others != b]
+        if not len(others) or not self.bins[b]:
+            return False
+        gap = self.capacity - self.fill[others]
+        own, both = self.sums(b)
+        best = (-1, 0, 0, 0, 0)
+        for kind, s, tables in ((1, own, (self.one, self.two)), (2, both, (self.one,))):
+            if not len(s):
+                continue
+            low = np.maximum(s[:, None] - gap, 0)
+            for give, table in enumerate(tables):
+                back = table[others, low].astype(np.int64)
+                gain = np.where(back < s[:, None], s[:, None] - back, 0)
+                # rise of the squares, 2 x gain x (gap between the fills + gain), after whether it closes the bin
+                rise = np.where(gain > 0, 2 * gain * (self.fill[others] - self.fill[b] + gain) + (gain == gap) * (8 * self.capacity**2), -1)
+                i = int(np.argmax(rise))
+                if rise.flat[i] > best[0]:
+                    r, c = divmod(i, len(others))
+                    best = (int(rise.flat[i]), int(others[c]), int(s[r]), kind, int(back[r, c]) if not give else -int(back[r, c]))
+        if best[0] <= 0:
+            return False
+        _, a, s, kind, back = best
+        out = self.pick(b, s, kind)
+        into = self.pick(a, abs(back), 2 if back < 0 else 1) if back else []
+        for i in out:
+            self.bins[b].remove(i)
+        for i in into:
+            self.bins[a].remove(i)
+        self.bins[a] += out
+        self.bins[b] += into
+        moved = s - abs(back)
+        self.fill[a] += moved
+        self.fill[b] -= moved
+        self.note(a)
+        self.note(b)
+        return True
+
+    def pick(self, a: int, total: int, pieces: int) -> list[int]:
+        """One or two pieces of a bin with this length in all."""
+        if pieces == 1:
+            return [next(i for i in self.bins[a] if self.size[i] == total)]
+        seen: dict[int, int] = {}
+        for i in self.bins[a]:
+            if total - self.size[i] in seen:
+                return [seen[total - self.size[i]], i]
+            seen.setdefault(self.size[i], i)
+        raise ValueError("no such pair")
+
+
+def improve(bins: list[list[int]], size: list[int], capacity: int) -> list[list[int]]:
+    """Moves and swaps between underfull bins that raise the sum of squared fills, until there is none.
+
+    From the emptiest bin up, each gives to bins at least as full, one piece over, one for one, two for
+    one or one for two, as long as a step exists; every bin, piece and pair is a candidate. Steps raise the sum
+    of squares, an integer with a bound, so the search ends. Bins that emptied are left out.
     """
-    fill = {b: sum(size[i] for i in x) for b, x in enumerate(bins)}
-    bins = [list(x) for x in bins]
-    for _ in range(rounds):
-        open_bins = sorted((b for b, f in fill.items() if 0 < f < capacity), key=fill.get)
+    full = [x for x in bins if sum(size[i] for i in x) >= capacity]
+    open_ = _Open([list(x) for x in bins if sum(size[i] for i in x) < capacity], size, capacity)
+    changed = True
+    while changed:
         changed = False
-        for b in open_bins[: max(1, len(open_bins) // 2)]:
-            # fuller bins first: their gaps are closed before new room is used
-            for a in sorted((x for x in open_bins if x != b and capacity > fill[x] >= fill[b] > 0), key=lambda x: -fill[x])[:64]:
-                while bins[b] and (step := _exchange(bins[b], bins[a], size, capacity - fill[a])):
-                    out, back = step
-                    for i in out:
-                        bins[b].remove(i)
-                        bins[a].append(i)
-                    for i in back:
-                        bins[a].remove(i)
-                        bins[b].append(i)
-                    moved = sum(size[i] for i in out) - sum(size[i] for i in back)
-                    fill[a] += moved
-                    fill[b] -= moved
-                    changed = True
-                if not bins[b]:
-                    break
-        if not changed:
-            break
-    return [x for x in bins if x]
+        for b in np.argsort(open_.fill, kind="stable").tolist():
+            while 0 < open_.fill[b] < capacity and open_.step(b):
+                changed = True
+    return full + [x for x in open_.bins if x]
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, length_col: str = "length") -> DataFrame:
