@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.prefix import running_sum
+from riskframe.operators.prefix import next_values, running_sum
 from riskframe.session import cut_lineage
 
 _DEC = "decimal(38,0)"
@@ -96,12 +96,13 @@ def class_totals(points: DataFrame) -> tuple[int, int]:
     return int(row["p"]), int(row["n"])
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
-              points: DataFrame | None = None) -> DataFrame:
+def roc_curve(df: DataFrame | None, label: str = "label", score: str = "score",
+              points: DataFrame | None = None, totals: tuple[int, int] | None = None) -> DataFrame:
     """Threshold, fpr, tpr, tp, fp per distinct score, after the start point
-    (0, 0) at threshold infinity."""
+    (0, 0) at threshold infinity. ``totals`` are the classes' sizes, where ``points``
+    are only the corners of a curve."""
     pts = points if points is not None else curve_points(df, label, score)
-    p, n = class_totals(pts)
+    p, n = totals or class_totals(pts)
     start = pts.sparkSession.range(1).select(
         F.lit(float("inf")).alias("score"), *[F.lit(0).cast("long").alias(c) for c in ("tp", "fp")])
     pts = pts.select("score", "tp", "fp").unionByName(start)
@@ -112,6 +113,18 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
         "tp", "fp")
 
 
+def corner_points(points: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The curve points without those that continue the step before them: a point between
+    two others goes where the step from it adds as many positives and negatives as the step to
+    it. First and last points stay, so the curve, its area and its best Youden threshold do too.
+    Each point needs only the next one, taken across the edges of the buckets."""
+    pts = points.withColumn("_rf_desc", -F.col("score"))
+    x = next_values(pts, ["_rf_desc"], {"_rf_pos": "pos", "_rf_neg": "neg"}, buckets=buckets)
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    same = (F.col("_rf_pos") == F.col("pos")) & (F.col("_rf_neg") == F.col("neg"))
+    return x.where(first | F.col("_rf_pos").isNull() | ~same).drop("_rf_desc", "_rf_pos", "_rf_neg")
+
+
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score",
              points: DataFrame | None = None) -> DataFrame:
     """Threshold, precision, recall per distinct score, and the end point

@@ -152,3 +152,16 @@ def sequential_id(df: DataFrame, order_cols: list[str], out: str = "row_id", sta
     res = _join_offsets(x, offsets, partition_cols).withColumn(
         out, (F.row_number().over(w) - 1 + F.col("_rf_off") + F.lit(start)).cast("bigint"))
     return res.drop(_BUCKET, "_rf_off")
+
+
+def next_values(df: DataFrame, order_cols: list[str], values: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """Add ``name = value of the next row`` in ``order_cols`` order (null after the last). A
+    bucket's last row takes it from the first row of the next bucket, a row per bucket."""
+    vals = F.struct(*[F.col(c).alias(k) for k, c in values.items()])
+    x = _with_bucket(df.withColumn("_rf_vals", vals), order_cols, (), buckets)
+    heads = x.groupBy(_BUCKET).agg(F.min(F.struct(*order_cols, "_rf_vals")).getField("_rf_vals").alias("_rf_head"))
+    after = heads.select(_BUCKET, F.lead("_rf_head").over(Window.orderBy(_BUCKET)).alias("_rf_after"))
+    w = Window.partitionBy(_BUCKET).orderBy(*order_cols)
+    out = _join_offsets(x.withColumn("_rf_next", F.lead("_rf_vals").over(w)), after, ())
+    out = out.withColumn("_rf_next", F.coalesce("_rf_next", "_rf_after"))
+    return out.withColumns({k: F.col("_rf_next").getField(k) for k in values}).drop(_BUCKET, "_rf_vals", "_rf_next", "_rf_after")

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.prefix import running_sum
-from riskframe.session import cut_lineage
+from riskframe.operators.blocks import masked_correlation, radix_medians
 
 
 def _unpivot(wide: DataFrame, cols: Sequence[str], fields: dict) -> DataFrame:
@@ -34,19 +34,13 @@ def _value_counts(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
 
 
 def column_medians(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """A2: median per column (mean of the middle two), one row. ``exact`` counts
-    the values and finds the middle by bucketed running sums, so no task holds
-    a column's distinct values; ``exact=False`` uses ``percentile_approx``."""
+    """A2: median per column (mean of the middle two), one row. ``exact`` selects by
+    radix passes over all columns at once, which send only counts;
+    ``exact=False`` uses ``percentile_approx``."""
     if not exact:
         return df.agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).cast("double").alias(c) for c in cols])
-    counts = cut_lineage(_value_counts(df, cols, "double"))
-    upto = running_sum(counts, ["value"], {"upto": "n"}, partition_cols=["column_name"])
-    total = counts.groupBy(F.col("column_name").alias("of")).agg(F.sum("n").alias("total"))  # a row per column
-    x = upto.join(F.broadcast(total), F.col("column_name") == F.col("of"))
-    low = F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("value")))
-    high = F.min(F.when(2 * F.col("upto") >= F.col("total") + 2 - F.col("total") % 2, F.col("value")))
-    mid = x.groupBy("column_name").agg(((low + high) / 2).alias("median"))
-    return mid.agg(*[F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(c) for c in cols])
+    medians = radix_medians(df, cols)
+    return df.sparkSession.range(1).select(*[F.lit(m).cast("double").alias(c) for c, m in zip(cols, medians, strict=True)])
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -97,14 +91,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(rows).select("r.*")
 
 
-def correlation_wide(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
-    """A9 for many columns: Pearson correlation of every pair of a vector column's
-    entries, long form, by one distributed pass over the rows. Vectors must be free of
-    nulls and NaN; the p x p result is made on the driver."""
-    from pyspark.ml.stat import Correlation
-    m = Correlation.corr(df, features).first()[0].toArray()
-    rows = [(a, b, float(m[i, j + i + 1])) for i, a in enumerate(names) for j, b in enumerate(names[i + 1:])]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+def correlation_wide(df: DataFrame, values: str, names: Sequence[str]) -> DataFrame:
+    """A9 for many columns: Pearson correlation of every pair of entries of an array or
+    vector column, pairwise complete, long form (see :func:`blocks.masked_correlation`)."""
+    if not df.schema[values].dataType.typeName().startswith("array"):
+        df = df.select(vector_to_array(values).alias(values))
+    return masked_correlation(df, values, names)
 
 
 def stage_audit(stage: str, df: DataFrame, null_cols: Sequence[str] = (),

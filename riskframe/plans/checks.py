@@ -255,6 +255,33 @@ def q_correlation_wide_embeddings(spark, d):
     return c.withColumn("corr", F.round("corr", 6))
 
 
+@query("correlation_gaps_embeddings", """
+WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings WHERE embedding IS NOT NULL),
+y AS (SELECT vec_id, i, CASE WHEN v < 0.2 THEN v END AS v FROM x)
+SELECT CAST(a.i AS VARCHAR) AS col_a, CAST(b.i AS VARCHAR) AS col_b, round(corr(a.v, b.v), 6) AS corr
+FROM y a JOIN y b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""")
+def q_correlation_gaps_embeddings(spark, d):
+    """Every pair of 64 columns over the rows where neither is null (here: 0.2 or more)."""
+    e = tb(spark, d, "embeddings").where(F.col("embedding").isNotNull()).select(F.col("embedding").cast("array<double>").alias("v"))
+    n = e.select(F.size("v").alias("n")).first()["n"]
+    e = e.select(F.transform("v", lambda x: F.when(x < 0.2, x)).alias("v"))
+    return PR.correlation_wide(e, "v", [str(i) for i in range(n)]).withColumn("corr", F.round("corr", 6))
+
+
+@query("roc_corners_events", f"""{SE},
+{CURVE_SQL.format(src='se')},
+s AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, lag(score) OVER w AS before FROM cum WINDOW w AS (ORDER BY score DESC))
+SELECT score AS threshold, round(fp / CAST(n AS DOUBLE), 9) AS fpr, round(tp / CAST(p AS DOUBLE), 9) AS tpr, tp, fp FROM s, tot
+WHERE before IS NULL OR next_pos IS NULL OR NOT (next_pos = pos AND next_neg = neg)
+UNION ALL SELECT 'infinity'::DOUBLE, 0, 0, 0, 0""")
+def q_roc_corners_events(spark, d):
+    """The curve without the points that continue the step before them."""
+    points = M.curve_points(scored_events(spark, d))
+    p, n = M.class_totals(points)
+    c = M.roc_curve(None, points=M.corner_points(points), totals=(p, n))
+    return c.select("threshold", R9(F.col("fpr")).alias("fpr"), R9(F.col("tpr")).alias("tpr"), "tp", "fp")
+
+
 @query("one_hot_vector_lineitem", """
 SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY CAST(l_partkey AS VARCHAR)) - 1 AS INTEGER) AS place FROM lineitem""")
 def q_one_hot_vector_lineitem(spark, d):
