@@ -16,6 +16,7 @@ from riskframe.learn import evaluate as EV
 from riskframe.learn import importance as IM
 from riskframe.learn import models as MD
 from riskframe.learn import pca as PCA_
+from riskframe.learn import perceptron as PT
 from riskframe.learn import prep as PP
 from riskframe.learn import trees as TR
 from riskframe.learn import tuning as TU
@@ -314,6 +315,14 @@ def q_sweep_documents(spark, d):
     return spark.createDataFrame(TU.sweep_logistic([0.001, 0.01, 0.1, 1.0, 10.0, 100.0], rows, 2))
 
 
+@query("perceptron_sweep_documents")
+def q_perceptron_sweep_documents(spark, d):
+    """Perceptrons with hidden layers 50 and 25 per strength of the L2 term, all fits in shared passes."""
+    docs = stratified_split(labelled_texts(spark, d), "label", 0.2, "doc_id", 42).withColumn("fold", (F.col("split") == "train").cast("int"))
+    rows, _ = TU.indexed(Pipeline(stages=PP.preprocessor_stages(TEXT_NUMERIC, TEXT_CATS, scale=False)), docs, "fold", "label", len(TEXT_NUMERIC))
+    return spark.createDataFrame(PT.sweep_alpha([0.0001, 0.001, 0.01, 0.1, 1.0, 10.0], rows, len(TEXT_NUMERIC), max_iter=MAX_ITER))
+
+
 @query("permutation_importance_documents")
 def q_permutation_importance_documents(spark, d):
     """E25 + D9: accuracy drop per raw input column."""
