@@ -20,6 +20,7 @@ from riskframe.learn import importance as IM
 from riskframe.learn import models as MD
 from riskframe.learn import pca as PCA_
 from riskframe.learn import prep as PP
+from riskframe.learn import wide_pca as WP
 from riskframe.learn.scoring import score_records
 from riskframe.operators import report as RP
 from riskframe.operators.quality import engineer_features
@@ -129,6 +130,24 @@ def q_pca_variance_embeddings(spark, d):
     return x.crossJoin(F.broadcast(total)).select("dimension", F.round(F.col("share") * F.col("total"), 6).alias("variance"))  # one row
 
 
+@query("wide_components_embeddings", """
+WITH v AS (SELECT var_samp(x) AS v FROM (
+  SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE embedding IS NOT NULL) GROUP BY i)
+SELECT c::INT AS component, round((SELECT sum(v) FROM v), 6) AS total_variance, true AS same_share, true AS same_spread FROM range(1, 11) t(c)""")
+def q_wide_components_embeddings(spark, d):
+    """E12-E14 without a d x d matrix: shares equal those of the whole decomposition to 1e-6, projections
+    have the components' variances, and the total is that of all dimensions."""
+    e = cut_lineage(tb(spark, d, "embeddings").where(F.col("embedding").isNotNull()).select(F.col("embedding").cast("array<double>").alias("v")))
+    n = e.select(F.size("v").alias("n")).first()["n"]
+    wide = WP.wide_pca_fit(e, "v", n, 10)
+    whole = PCA_.scree(spark, PCA_.pca_fit(e.select(array_to_vector("v").alias("features")), "features", n))
+    spread = WP.wide_project(wide, e, "v", "p").select(F.posexplode("p").alias("i", "x")).groupBy((F.col("i") + 1).alias("component")).agg(F.var_samp("x").alias("spread"))
+    both = WP.wide_scree(spark, wide).select("component", F.col("ratio").alias("share")).join(whole.select("component", "ratio"), "component").join(spread, "component")
+    return both.select(F.col("component").cast("int").alias("component"), F.round(F.lit(wide.total), 6).alias("total_variance"),
+                       (F.abs(F.col("share") - F.col("ratio")) < 1e-6).alias("same_share"),
+                       (F.abs(F.col("spread") / wide.total - F.col("share")) < 1e-6).alias("same_spread"))
+
+
 @query("permutation_of_unread_column", """
 SELECT 'n_chars' AS feature, 0.0::DOUBLE AS importance_mean, 0.0::DOUBLE AS importance_std""")
 def q_permutation_of_unread_column(spark, d):
