@@ -19,16 +19,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import checkpointed
+from riskframe.session import scratch_path
 
 K = 10
 SCALE = 1024
 LEAF_ROWS = 64
 #: Vectors of the bounded sample that the top tree is fitted on, and its depth.
 SAMPLE_ROWS, TOP_DEPTH = 4096, 8
-#: Rows of a shard: a 512th of all, within these bounds.
+#: Rows of a shard: a 512th of all, within these bounds, and no more bytes of vectors than this.
 SHARD_ROWS = (1024, 262_144)
-#: Queries of a block. A block of vectors is sent to every task, so this bounds the broadcast.
-BLOCK_QUERIES = 8192
+SHARD_BYTES = 128 << 20
+#: Queries of a block, and bytes of them. A block is sent to every task, so this bounds the broadcast.
+BLOCK_QUERIES, BLOCK_BYTES = 8192, 64 << 20
 
 
 def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -170,7 +172,7 @@ def shard_trees(own: DataFrame, dim: int) -> tuple[DataFrame, list[tuple[int, in
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf_of(matrix(b.column(1), dim), splits))], ["vec_id", "v", "leaf"])
 
     routed = own.mapInArrow(route, "vec_id long, v array<long>, leaf long")
-    rows = min(max(n // 512, SHARD_ROWS[0]), SHARD_ROWS[1])
+    rows = max(1, min(max(n // 512, SHARD_ROWS[0]), SHARD_ROWS[1], SHARD_BYTES // (8 * dim)))
     # a row for each leaf of the top tree: 2 ** TOP_DEPTH at most
     counts = {r["leaf"]: r["n"] for r in routed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
     # small leaves share a shard with their neighbours, large ones are cut by id
@@ -201,15 +203,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     fewer rows; an empty table or no query gives none. Repeated candidates each
     count; a repeated query id is searched once for each different vector. Other
     columns are not read.
+
+    The rows of a block of queries are written before the next block is searched, and
+    all blocks are read back as one table: the plan doesn't grow with the queries.
     """
     spark = vectors.sparkSession
     own = checkpointed(integer_vectors(vectors, id_col, vec_col, scale).withColumn("dim", F.size("v")))
     asked = integer_vectors(vectors.where(is_query), id_col, vec_col, scale).distinct().withColumn("dim", F.size("v"))
-    asked = checkpointed(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(-(-max(1, asked.count()) // (BLOCK_QUERIES // 2))))))
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("dim"), F.lit(1)).alias("dim")).first()
+    a_block = max(1, min(BLOCK_QUERIES, BLOCK_BYTES // (8 * size["dim"])) // 2)
+    asked = checkpointed(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, -(-size["n"] // a_block))))))
     blocks = asked.groupBy("dim", "block").agg(F.count(F.lit(1)).alias("n")).orderBy("dim", "block").collect()
     schema = "query_no long, query_id long, score long, vec_id long"
-    found, trees = None, {}
-    for b in blocks:
+    columns = "query_id long, rank int, vec_id long, score long"
+    path, trees = scratch_path(spark, "top-k"), {}
+    for i, b in enumerate(blocks):
         dim = b["dim"]
         if dim not in trees:
             trees[dim] = shard_trees(own.where(F.col("dim") == dim).select("vec_id", "v"), dim)
@@ -249,5 +257,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
         part = shards.mapInArrow(rest, schema)
         best = Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
         part = part.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-        found = part if found is None else found.unionAll(part)
-    return found if found is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        part.write.parquet(f"{path}/part={i}")
+        sent.destroy()
+        bounds.destroy()
+    return spark.read.schema(columns).parquet(path).select("query_id", "rank", "vec_id", "score") if blocks else spark.createDataFrame([], columns)

@@ -41,6 +41,19 @@ def test_against_all_rows(spark, monkeypatch, seed):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute(rows)
 
 
+@pytest.mark.parametrize("limits", [{"BLOCK_BYTES": 64}, {"SHARD_BYTES": 64}, {"BLOCK_BYTES": 1, "SHARD_BYTES": 1}])
+def test_bytes_bound_blocks_and_shards(spark, monkeypatch, limits):
+    """Down to a vector a block and a shard; the plan has one scan however many blocks there are."""
+    for name, value in limits.items():
+        monkeypatch.setattr(kdtree, name, value)
+    rows = rows_of(4, 24)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    found = kdtree.top_k(df, F.col("vec_id") % 5 == 0)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()) == brute(rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Relation") == 1
+
+
 def test_nothing_to_search(spark):
     df = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")
     assert kdtree.top_k(df, F.col("vec_id") == 5).count() == 0
