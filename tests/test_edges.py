@@ -54,3 +54,15 @@ def test_zero_denominators_and_nan(spark, tmp_path):
     cm = spark.createDataFrame([(0, 1)], "label int, prediction int")
     m = M.classification_metrics(cm).first()
     assert m["recall"] == 0.0 and m["specificity"] == 0.0 and m["precision"] == 0.0
+
+
+def test_one_hot_vector_stays_sparse(spark):
+    """Places are read from the sparse vector (a dense one has an entry per level and row); nulls and unknown are all 0."""
+    from riskframe.functions import features as FX
+    rows = [(i, None if i % 7 == 0 else f"k{i % 3000}") for i in range(6000)]
+    x = FX.one_hot_vector(spark.createDataFrame(rows, "i int, k string"), ["k"]).withColumn("place", FX.vector_place("k_oh"))
+    at = {k: j for j, k in enumerate(sorted({k for _, k in rows if k}))}
+    assert {(r["i"], r["k"], r["place"]) for r in x.collect()} == {(i, k, at.get(k, -1)) for i, k in rows}
+    assert x.first()["k_oh"].size == len(at)
+    none = FX.one_hot_vector(spark.createDataFrame([(None,)], "k string"), ["k"]).select(FX.vector_place("k_oh")).collect()
+    assert [r[0] for r in none] == [-1]
