@@ -93,3 +93,14 @@ def test_a_broken_model_is_an_error_and_a_missing_one_is_none(spark, tmp_path):
     (tmp_path / "best_model").mkdir()
     with pytest.raises(Exception):
         IO.load_model(str(tmp_path), ["a", "best_model"])
+
+
+def test_generated_partitions_are_bounded(spark, monkeypatch):
+    """Keys beyond ``PART_KEYS`` a partition are spread over more tasks than cores, with the same rows."""
+    from riskframe.sources import generate as G
+    keys = spark.range(0, 900, 1, 1).withColumnRenamed("id", "k")
+    whole = G.patients_from(keys, "k")
+    monkeypatch.setattr(G, "PART_KEYS", 50)
+    cut = G.patients_from(keys, "k")
+    assert cut.rdd.getNumPartitions() == 18
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
