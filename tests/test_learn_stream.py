@@ -104,3 +104,17 @@ def test_margin_classifier_is_an_estimator(spark, tmp_path):
     a, b = (m.transform(df).select("k", "prediction", F.round("margin", 9).alias("margin")).orderBy("k").collect() for m in (fitted, again))
     assert a == b and sum(r["prediction"] == r["k"] % 2 for r in a) >= 297
     df.unpersist()
+
+
+def test_stream_files_are_bounded(spark, monkeypatch, tmp_path):
+    """The three arriving batches are cut into files of at most about ``BATCH_FILE_ROWS`` rows, none lost."""
+    from riskframe.plans import checks
+    files = []
+    one = checks.score_stream
+    monkeypatch.setattr(checks, "BATCH_FILE_ROWS", 100)
+    monkeypatch.setattr(checks, "score_stream", lambda sp, src, *a, **k: (files.append((len(sp.read.format("binaryFile").load(src).select("path").collect()), k["max_files"])), one(sp, src, *a, **k))[1])
+    keys = spark.range(900).withColumnRenamed("id", "o_orderkey")
+    monkeypatch.setattr(checks, "tb", lambda sp, d, name: keys)
+    got = checks.q_stream_rows_patients(spark, str(tmp_path)).collect()
+    assert files == [(9, 3)]
+    assert sorted(r["patient_id"] for r in got) == [1000 + i for i in range(900)]
