@@ -39,8 +39,8 @@ INT_COLUMNS = ("age", "family_history_cancer", "wbc_count", "platelet_count",
 FLOAT_COLUMNS = ("hemoglobin_level", "tumor_marker_level", "tumor_size_cm")
 
 
-def _mark(df, keys, seed, fraction, out):
-    return mark_smallest(df, keys, seed, fraction=fraction, out=out)
+def _mark(df, keys, seed, fraction, out, counted):
+    return mark_smallest(df, keys, seed, fraction=fraction, out=out, counted=counted)
 
 
 def inject_anomalies(df: DataFrame, key: str = "patient_id", copy_col: str = "copy_no") -> DataFrame:
@@ -48,17 +48,20 @@ def inject_anomalies(df: DataFrame, key: str = "patient_id", copy_col: str = "co
     0.5% age=150, 0.5% tumor size=40, 0.5% rows deleted. After the copy step
     rows are keyed by (key, copy_no)."""
     # each exact sample reads its input twice (threshold, then predicate):
-    # the input and the grown table are written rather than made again
+    # the input and the grown table are written rather than made again, and
+    # their keys apart, so that looking for a threshold reads no other column
     df = cut_lineage(df)
-    x = _mark(df, [key], NULL_SEED, NULL_FRACTION, "_rf_m")
+    rows = cut_lineage(df.select(key))
+    x = _mark(df, [key], NULL_SEED, NULL_FRACTION, "_rf_m", rows)
     x = set_where(x, F.col("_rf_m"), {c: None for c in NULL_COLUMNS if c in df.columns}).drop("_rf_m")
-    x = cut_lineage(duplicate_rows(x, DUP_FRACTION, key, DUP_SEED, copy_col=copy_col))
+    x = cut_lineage(duplicate_rows(x, DUP_FRACTION, key, DUP_SEED, copy_col=copy_col, counted=rows))
     keys = [key, copy_col]
-    x = _mark(x, keys, AGE_OUTLIER_SEED, AGE_OUTLIER_FRACTION, "_rf_m")
+    rows = cut_lineage(x.select(*keys))
+    x = _mark(x, keys, AGE_OUTLIER_SEED, AGE_OUTLIER_FRACTION, "_rf_m", rows)
     x = set_where(x, F.col("_rf_m"), {"age": AGE_OUTLIER_VALUE}).drop("_rf_m")
-    x = _mark(x, keys, SIZE_OUTLIER_SEED, SIZE_OUTLIER_FRACTION, "_rf_m")
+    x = _mark(x, keys, SIZE_OUTLIER_SEED, SIZE_OUTLIER_FRACTION, "_rf_m", rows)
     x = set_where(x, F.col("_rf_m"), {"tumor_size_cm": SIZE_OUTLIER_VALUE}).drop("_rf_m")
-    x = _mark(x, keys, DELETE_SEED, DELETE_FRACTION, "_rf_m")
+    x = _mark(x, keys, DELETE_SEED, DELETE_FRACTION, "_rf_m", rows)
     return x.where(~F.col("_rf_m")).drop("_rf_m")
 
 

@@ -146,14 +146,16 @@ def smallest_predicate(df: DataFrame, key, seed, thresholds: dict, strata: Seque
 
 
 def mark_smallest(df: DataFrame, key, seed, fraction: float | None = None, n: int | None = None,
-                  strata: Sequence[str] = (), out: str = "selected") -> DataFrame:
+                  strata: Sequence[str] = (), out: str = "selected", counted: DataFrame | None = None) -> DataFrame:
     """Add boolean ``out``: the row is among the ``n`` (or ``floor(f*n_s+0.5)``
-    per stratum) rows with the smallest (hash, key)."""
+    per stratum) rows with the smallest (hash, key). ``counted`` has the keys and
+    strata of the same rows: the passes that look for the cut read it, where ``df`` is wide."""
+    wide, df = df, df if counted is None else counted
     few = not strata or df.select(*strata).distinct().limit(LITERAL_STRATA + 1).count() <= LITERAL_STRATA
     thr = smallest_thresholds(df, key, seed, fraction, n, strata) if few else {}
     if few and "tie" not in thr.values():
-        return df.withColumn(out, smallest_predicate(df, key, seed, thr, strata))
-    return _mark_by_number(df, _keys(key), seed, fraction, n, list(strata), out)
+        return wide.withColumn(out, smallest_predicate(wide, key, seed, thr, strata))
+    return _mark_by_number(wide, _keys(key), seed, fraction, n, list(strata), out)
 
 
 def _mark_by_number(df, keys, seed, fraction, n, strata, out) -> DataFrame:
@@ -170,11 +172,11 @@ def _mark_by_number(df, keys, seed, fraction, n, strata, out) -> DataFrame:
     return marked.select(*[c for c in df.columns if c != out], out)
 
 
-def sample_fraction(df: DataFrame, fraction: float, key, seed, exact: bool = False) -> DataFrame:
+def sample_fraction(df: DataFrame, fraction: float, key, seed, exact: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """About (map-only hash filter) or exactly ``floor(f*n + 0.5)`` rows."""
     if not exact:
         return df.where(hash_below(_keys(key), seed, fraction))
-    return mark_smallest(df, key, seed, fraction=fraction, out="_rf_sel").where("_rf_sel").drop("_rf_sel")
+    return mark_smallest(df, key, seed, fraction=fraction, out="_rf_sel", counted=counted).where("_rf_sel").drop("_rf_sel")
 
 
 def sample_n(df: DataFrame, n: int, key, seed) -> DataFrame:
@@ -213,10 +215,10 @@ def resize_to(df: DataFrame, n: int, key, seed, source_col: str = "source_key",
     return base.unionByName(extra)
 
 
-def duplicate_rows(df: DataFrame, fraction: float, key, seed, copy_col: str = "copy_no") -> DataFrame:
+def duplicate_rows(df: DataFrame, fraction: float, key, seed, copy_col: str = "copy_no", counted: DataFrame | None = None) -> DataFrame:
     """Append copies of an exact sample; originals get copy 0, copies 1."""
     orig = df.withColumn(copy_col, F.lit(0))
-    copies = sample_fraction(df, fraction, key, seed, exact=True).withColumn(copy_col, F.lit(1))
+    copies = sample_fraction(df, fraction, key, seed, exact=True, counted=counted).withColumn(copy_col, F.lit(1))
     return orig.unionByName(copies)
 
 

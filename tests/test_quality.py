@@ -64,3 +64,15 @@ def test_profile_ops(spark):
     assert PR.column_modes(df, ["s", "x"]).first().asDict() == {"s": "a", "x": 1}
     empty = df.limit(0)
     assert PR.shape(empty).first()["rows"] == 0
+
+
+def test_damage_looks_for_its_thresholds_in_the_keys_alone(spark, monkeypatch):
+    from riskframe.operators import sampling as SA
+    seen, plain = [], SA.smallest_thresholds
+    monkeypatch.setattr(SA, "smallest_thresholds", lambda df, *a, **k: seen.append(df.columns) or plain(df, *a, **k))
+    df = spark.range(400).selectExpr("id AS patient_id", "cast(id % 60 + 20 AS int) AS age", "1.5D AS tumor_size_cm", "id AS wbc_count")
+    out = Q.inject_anomalies(df)
+    assert seen == [["patient_id"]] * 2 + [["patient_id", "copy_no"]] * 3
+    # 400 rows, 4 copies, 2 deleted; no more nulls than the 12 rows and their copies
+    assert out.count() == 402
+    assert 10 <= out.where("wbc_count IS NULL").count() <= 16
