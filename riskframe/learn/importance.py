@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.learn.evaluate import scored
-from riskframe.operators.sampling import permute_column
+from riskframe.operators.sampling import permute_columns
+from riskframe.session import cut_lineage
 
 
 def feature_importance(spark: SparkSession, stage, names: Sequence[str]) -> DataFrame:
@@ -39,16 +40,15 @@ def compare_coefficients(spark: SparkSession, models: dict, names: Sequence[str]
 def permutation_importance(model, df: DataFrame, columns: Sequence[str], key: str, label: str = "label",
                            repeats: int = 10, seed: int = 42) -> DataFrame:
     """Mean accuracy drop when one raw input column is shuffled (D9),
-    per raw column (named correctly, unlike encoded-name indexing). All
-    repeats of a column are scored in one pass over a union tagged by repeat."""
+    per raw column (named correctly, unlike encoded-name indexing). Each repeat
+    orders the rows once for all columns, and all repeats of a column are scored in one pass over a union tagged by repeat."""
     spark = df.sparkSession
     base = scored(model.transform(df), label).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     rows = []
+    # every repeat's shuffled columns beside the rows, written once and read by each column
+    shuffled = cut_lineage(permute_columns(df, columns, key, [seed + r for r in range(repeats)]))
     for c in columns:
-        parts = None
-        for r in range(repeats):
-            p = permute_column(df, c, key, seed + r).withColumn("_rf_rep", F.lit(r))
-            parts = p if parts is None else parts.unionByName(p)
+        parts = shuffled.withColumn(c, F.col(f"_rf_p_{c}")).drop(*[f"_rf_p_{x}" for x in columns])
         pred = model.transform(parts)
         acc = (pred.groupBy("_rf_rep")
                .agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("acc")))

@@ -263,6 +263,21 @@ def permute_column(df: DataFrame, col: str, key, seed) -> DataFrame:
     return by_key.join(by_hash, "_rf_i", "inner").drop("_rf_i")
 
 
+def permute_columns(df: DataFrame, cols: Sequence[str], key, seeds: Sequence[int], rep: str = "_rf_rep", prefix: str = "_rf_p_") -> DataFrame:
+    """D9 for several columns and seeds: every row once per seed, numbered in ``rep``, with
+    ``prefix + c`` holding what :func:`permute_column` of ``c`` with that seed gives the row. The numbering by key
+    serves all seeds, that by hash all columns."""
+    keys = _keys(key)
+    by_key = cut_lineage(sequential_id(df, keys, out="_rf_i"))
+    out = None
+    for r, seed in enumerate(seeds):
+        by_hash = sequential_id(df.select(*keys, *[F.col(c).alias(prefix + c) for c in cols]).withColumn("_rf_h", key_hash(keys, seed)),
+                                ["_rf_h", *keys], out="_rf_i").select("_rf_i", *[prefix + c for c in cols])
+        part = by_key.join(by_hash, "_rf_i", "inner").drop("_rf_i").withColumn(rep, F.lit(r))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def sample_grid(grid: dict, n: int = 50, seed: int = 42, limit: int = 100) -> list[dict]:
     """All combinations when the grid has at most ``limit``, else ``n``
     drawn without replacement (driver-side; grids are tiny)."""

@@ -87,3 +87,13 @@ def test_stratified_kfold_keeps_null_labels(spark):
     got = SA.stratified_kfold(df, "y", 5, "id", 1)
     assert got.count() == 1000
     assert {r["n"] for r in got.groupBy("y", "fold").agg(F.count("*").alias("n")).collect()} == {60, 80}
+
+
+def test_columns_permuted_together_are_as_permuted_alone(spark):
+    df = spark.range(90).selectExpr("id * 3 AS k", "id % 11 AS a", "if(id % 7 = 0, NULL, cast(id AS string)) AS b")
+    both = SA.permute_columns(df, ["a", "b"], "k", [5, 6])
+    assert both.count() == 180
+    for r, seed in enumerate([5, 6]):
+        for c in ("a", "b"):
+            alone = SA.permute_column(df, c, "k", seed).select("k", c).collect()
+            assert sorted(map(tuple, both.where(f"_rf_rep = {r}").select("k", f"_rf_p_{c}").collect())) == sorted(map(tuple, alone))
