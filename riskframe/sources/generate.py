@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Rows that a task generates; what is fitted on them later reads a partition a task (about 150 MB).
-PART_KEYS = 250_000
+#: Rows that a task generates, but for a few of dealing out; what is fitted on them later reads a partition a task (about 70 MB in boosting).
+PART_KEYS = 100_000
 
 
 def _unit(key: str, seed, slot: int) -> str:
@@ -65,12 +65,14 @@ def spread(keys: DataFrame, key: str) -> DataFrame:
     """Generation costs one md5 per cell, far more than scanning a key, and a
     generated row is many times as wide as its key. A key table read as fewer
     partitions than the cluster has cores (one small file is one task), or with
-    more than ``PART_KEYS`` keys a partition, is spread round-robin first. Only
+    more than ``PART_KEYS`` keys in any one partition, is spread round-robin first. Only
     the key column is shuffled; a key table that is already split is left as it is."""
-    par = max(keys.sparkSession.sparkContext.defaultParallelism, -(-keys.count() // PART_KEYS))
-    if keys.rdd.getNumPartitions() >= par:
+    cores = keys.sparkSession.sparkContext.defaultParallelism
+    per_part = keys.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    n, largest = per_part.agg(F.sum("n"), F.max("n")).first()
+    if keys.rdd.getNumPartitions() >= cores and (largest or 0) <= PART_KEYS:
         return keys
-    return keys.select(key).repartition(par)
+    return keys.select(key).repartition(max(cores, -(-(n or 0) // PART_KEYS)))
 
 
 def generate_table(keys: DataFrame, key: str, spec: list[tuple], seed, keep_key: bool = False) -> DataFrame:

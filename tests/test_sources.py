@@ -104,3 +104,15 @@ def test_generated_partitions_are_bounded(spark, monkeypatch):
     cut = G.patients_from(keys, "k")
     assert cut.rdd.getNumPartitions() == 18
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_one_large_partition_among_many_is_spread(spark, monkeypatch):
+    """As many partitions as ``PART_KEYS`` asks for on average, but nearly all keys in one of them."""
+    from riskframe.sources import generate as G
+    monkeypatch.setattr(G, "PART_KEYS", 50)
+    one = spark.range(0, 880, 1, 1).withColumnRenamed("id", "k")
+    keys = one.unionAll(spark.range(880, 900, 1, 20).withColumnRenamed("id", "k"))
+    got = G.patients_from(keys, "k")
+    assert max(len(p) for p in got.rdd.glom().collect()) <= 60
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, G.patients_from(keys.coalesce(1), "k").collect()))
+    assert G.spread(keys.where("k >= 880"), "k").rdd.getNumPartitions() == 21  # small partitions stay
