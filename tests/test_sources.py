@@ -116,3 +116,20 @@ def test_one_large_partition_among_many_is_spread(spark, monkeypatch):
     assert max(len(p) for p in got.rdd.glom().collect()) <= 60
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, G.patients_from(keys.coalesce(1), "k").collect()))
     assert G.spread(keys.where("k >= 880"), "k").rdd.getNumPartitions() == 21  # small partitions stay
+
+
+def test_labelled_texts_count_characters_of_labelled_texts_only(spark, tmp_path, monkeypatch):
+    """Shares of kinds of characters of odd texts; what is counted is counted above the join with the labels."""
+    from riskframe.plans import learning as L
+    texts = ["", "   ", "Ab 12, c!", "é中\U0001d400 x", "no label", None]
+    spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in enumerate(texts)],
+                          "doc_id long, text string, lang string, source string, n_chars int").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 0 if i % 2 else 1) for i in (0, 1, 2, 3, 3, 5)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    monkeypatch.setattr(L, "cut_lineage", lambda df: df)
+    df = L.labelled_texts(spark, str(tmp_path))
+    got = sorted((r["doc_id"], r["n_chars"], r["n_words"], r["letters"], r["marks"], r["digits"], r["lang"], r["label"]) for r in df.collect())
+    letters_only = (3, 5.0, 2.0, 4 / 5, 0.0, 0.0, "", 0)
+    assert got == [(0, 0.0, 0.0, 0.0, 0.0, 0.0, "", 1), (1, 3.0, 0.0, 0.0, 0.0, 0.0, "", 0),
+                   (2, 9.0, 3.0, 3 / 9, 2 / 9, 2 / 9, "", 1), letters_only, letters_only]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("regexp") < plan.index("Join") and "regexp" not in plan[plan.index("Join"):]
